@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakemoor.llm.bpe import bpe_encode
 from lakemoor.llm.exact_dedup import exact_dedup
 from lakemoor.llm.shared import table
 
@@ -19,5 +21,16 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g USING (t)
 """
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup}
+
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe_encode(table(spark, sf_dir, "documents"), decode=True)
+    return tokens.select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op9_bpe_round_trip": op9_bpe_round_trip}
 ORACLES = {"op1_exact_dedup": OP1_SQL}
