@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemoor.llm import quality, toxicity
 from lakemoor.llm.bpe import bpe_encode
 from lakemoor.llm.exact_dedup import exact_dedup
+from lakemoor.llm.near_dedup import near_dedup
+from lakemoor.llm.packing import pack
 from lakemoor.llm.shared import table
 
 
@@ -22,6 +25,25 @@ FROM d JOIN g USING (t)
 """
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe_encode(table(spark, sf_dir, "documents"), decode=True)
     return tokens.select(
@@ -32,5 +54,12 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op9_bpe_round_trip": op9_bpe_round_trip}
+QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op2_packing": op2_packing,
+    "op5_near_dedup": op5_near_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op9_bpe_round_trip": op9_bpe_round_trip,
+}
 ORACLES = {"op1_exact_dedup": OP1_SQL}
