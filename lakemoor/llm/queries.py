@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakemoor.llm import quality, toxicity
 from lakemoor.llm.bpe import bpe_encode
 from lakemoor.llm.exact_dedup import exact_dedup
+from lakemoor.llm.licenses import scan_licenses
 from lakemoor.llm.near_dedup import near_dedup
 from lakemoor.llm.packing import pack
 from lakemoor.llm.shared import table
@@ -29,6 +30,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
+    "op3_license_scan": op3_license_scan,
     "op5_near_dedup": op5_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,

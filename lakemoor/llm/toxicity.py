@@ -105,8 +105,8 @@ def select_features(sample: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
     if not t1 or not t0:
         return np.zeros(0, np.uint64), np.zeros(0)
     counts = map_arrow(sample.select("text", F.col("label").cast("int").alias("label")), count, "f long, n1 long, n0 long").groupBy("f").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    p1, p0 = (F.col("n1") + 0.5) / (t1 + 1), (F.col("n0") + 0.5) / (t0 + 1)
-    z = F.log(p1 / p0) / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+    p1, p0, p = F.col("n1") / t1, F.col("n0") / t0, (F.col("n1") + F.col("n0")) / (t1 + t0)
+    z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / t1 + 1 / t0) + 1e-12)
     best = counts.filter(F.col("n1") + F.col("n0") >= 2).select("f", z.alias("z")).orderBy(F.desc("z"), "f").limit(most).collect()
     f = np.array([r["f"] for r in best], dtype=np.int64).view(np.uint64)
     order = np.argsort(f)
