@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemoor.llm import quality, toxicity
+from lakemoor.llm.ann import nearest
 from lakemoor.llm.bpe import bpe_encode
+from lakemoor.llm.chat import format_chats
 from lakemoor.llm.exact_dedup import exact_dedup
+from lakemoor.llm.html_extract import extract_text
 from lakemoor.llm.licenses import scan_licenses
 from lakemoor.llm.near_dedup import near_dedup
 from lakemoor.llm.packing import pack
@@ -34,6 +37,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op4_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
@@ -49,6 +56,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe_encode(table(spark, sf_dir, "documents"), decode=True)
     return tokens.select(
@@ -59,13 +70,20 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
     "op3_license_scan": op3_license_scan,
+    "op4_hash_prefix_forest": op4_hash_prefix_forest,
     "op5_near_dedup": op5_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op8_html_text": op8_html_text,
     "op9_bpe_round_trip": op9_bpe_round_trip,
+    "op10_chat_format": op10_chat_format,
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL}
