@@ -259,5 +259,5 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bu
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     rows = df.select(F.spark_partition_id().alias("pid"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"), row.alias("row"))
     dealt = map_arrow(rows, _collapse(False, budget), LOCAL_DDL).repartition("route")
-    kept = dealt.mapInArrow(_merge(f"c{names.index(text_col)}", budget, to_arrow_type(kind, timezone="UTC")), T.StructType([T.StructField("row", kind)]))
+    kept = dealt.mapInArrow(_merge(f"c{names.index(text_col)}", budget, to_arrow_type(kind)), T.StructType([T.StructField("row", kind)]))
     return kept.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
