@@ -1 +1,8 @@
 """lakemoor: a Spark-native engine over versioned columnar datasets."""
+
+from lakemoor.errors import CommitConflictError, EngineError
+from lakemoor.operators.compaction import compact
+from lakemoor.sources.scan import scan_dataset, versions
+from lakemoor.sources.write import sink_dataset, write_dataset
+
+__all__ = ["CommitConflictError", "EngineError", "compact", "scan_dataset", "sink_dataset", "versions", "write_dataset"]
