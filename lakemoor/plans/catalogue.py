@@ -329,4 +329,4 @@ def pushdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan, filter and project, with the conditions in the Parquet scan."""
-    return scan(spark, sf_dir, "orders").filter((C("o_custkey") > 700) & (C("o_totalprice") < 100000)).select("o_orderkey", "o_custkey", "o_totalprice")
+    return scan(spark, sf_dir, "orders").filter((C("o_custkey") > 70) & (C("o_totalprice") < 100000)).select("o_orderkey", "o_custkey", "o_totalprice")
