@@ -7,7 +7,8 @@
    presentation importance 0, a text that stands on all m pages content importance 0; whatever only
    one page shows is 1. A style that at least ``PAGES`` pages of the host have is unimportant if
    both lie below ``LOW``.
-2. A page loses every branch whose style is unimportant. What a tag or a class states outright
+   The importance of a style without texts is that of the styles below it.
+2. A page loses the texts of unimportant styles, and so every branch that holds nothing else. What a tag or a class states outright
    counts before any entropy: landmarks of navigation, headers, footers, sidebars, notices,
    adverts, forms and reader comments have importance 0, and inside an article (or main) element
    the other branches have importance 1, as mirrored articles would look like boilerplate.
@@ -211,16 +212,16 @@ def page_text(page: str, low: set[int]) -> str:
     """The main text of one page, without the branches whose style is in ``low``."""
     nodes, texts = blocks(page)
     gone: dict[int, bool] = {}
-    for n in nodes:  # parents come first
+    for n in nodes:
         own = int.from_bytes(n.style, "little", signed=True) in low
-        gone[id(n)] = n.plain or not n.kept and (own or n.parent is not None and gone[id(n.parent)])
+        gone[id(n)] = n.plain or own and not n.kept
     some = any(n.kept for n, _ in texts)
     return "\n\n".join(t for n, t in texts if not gone[id(n)] and (n.kept or not some))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: id, url, text and n_chars."""
-    low = style_tree(pages, url_col, html_col).filter((F.col("pages") >= PAGES) & (F.col("presentation") < LOW) & (F.coalesce("content", F.lit(0.0)) < LOW))
+    low = style_tree(pages, url_col, html_col).filter((F.col("pages") >= PAGES) & (F.col("presentation") < LOW) & (F.col("content") < LOW))
     low = materialise(low.groupBy("host").agg(F.collect_list("style").alias("low")), "styles")
 
     def hosts(batches):
