@@ -10,12 +10,14 @@ counts once this is the plain Jaccard similarity of the shingle sets.)
    of 100 registers, and the first arrival in a register names its shingle. A shingle whose arrival
    is later than every register's ends there. Two nodes agree in a register with the probability
    Jaccard similarity as probability.
-3. 20 bands of 5 registers. In each bucket every node is tied to the least one; the pairs, distinct
-   over bands, are verified exactly on whole texts. At similarity 0.8 a pair shares some bucket
-   with probability 0.9997.
-4. Links become components. Buckets that still hold several components are looked at again with one
-   node for each (bucket, component), all of whose pairs not yet seen are verified, until a round
-   adds no link. So a group of near copies costs one pair per member, not all pairs.
+3. 20 bands of 5 registers. In each bucket every node is tied to the most central one, that with
+   the most company over all its buckets (of near copies of one text, the text itself); the pairs,
+   distinct over bands, are verified exactly on whole texts. At similarity 0.8 a pair shares some
+   bucket with probability 0.9997.
+4. Links become components. Buckets that still hold several components are looked at again, with one
+   node for each (bucket, component): these are verified with each other, until a round adds no
+   link, at most twice. So a group of near copies costs one pair a member, and what is compared
+   pairwise are the components that share a bucket without being linked.
 
 Defined cases: null text counts as empty; texts of one to four words have one shingle of all of
 them; texts without words are linked only if their bytes are equal; a null doc_id is larger than
@@ -37,7 +39,9 @@ from lakemoor.llm.components import components
 from lakemoor.llm.shared import map_arrow, materialise
 
 SHINGLE, BANDS, ROWS, LEAST = 5, 20, 5, 0.8
-ROUNDS = 4
+ROUNDS = 2
+#: Members of a bucket that meet in one task, at most about twice as many.
+CHUNK = 500
 
 
 def prob_minhash(elements: np.ndarray, weights: np.ndarray, rows: np.ndarray, n: int, m: int) -> np.ndarray:
@@ -69,13 +73,16 @@ def fingerprints(buf: np.ndarray, offs: np.ndarray, hashes: np.ndarray, first: n
     return out
 
 
+def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """(n, bands): a hash of the registers of each band and of its number."""
+    return K.mix((sig.reshape(-1, bands, rows) * K.streams(rows, 23)).sum(axis=2, dtype=np.uint64) + K.streams(bands, 29)).view(np.int64)
+
+
 def signatures(df: DataFrame, id_col: str, text_col: str, bands: int = BANDS, rows: int = ROWS, k: int = SHINGLE) -> DataFrame:
     """Per row: id, fp and the keys of its bands (none for a text without words)."""
     m = bands * rows
 
     def run(batches):
-        by = K.streams(rows, 23)
-        salt = K.streams(bands, 29)
         for batch in batches:
             for at in range(0, batch.num_rows, 400):
                 part = batch.slice(at, 400)
@@ -83,7 +90,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, bands: int = BANDS, ro
                 hashes, _, _, first = K.words(buf, offs)
                 e, r, c = K.counted(*K.shingles(hashes, first, k))
                 sig = prob_minhash(e, c, r, part.num_rows, m)
-                keys = K.mix((sig.reshape(-1, bands, rows) * by).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
+                keys = band_keys(sig, bands, rows)
                 some = np.diff(first) > 0
                 ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fingerprints(buf, offs, hashes, first), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel()))], names=["id", "fp", "keys"])
@@ -148,40 +155,95 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFr
     return map_arrow(both.select("a", "b", "text_a", "text_b"), run, "a binary, b binary, similarity double")
 
 
+def links_within(members: DataFrame, least: float, k: int, bands: int, rows: int) -> DataFrame:
+    """The links between members of one bucket: (key, c: its size, fp, text) -> (a, b).
+
+    Large buckets are cut into chunks, and a task sees one pair of chunks at a time. It compares
+    signatures (those at least 0.15 below the threshold are out, nearly four standard deviations),
+    leaves a pair to the first band that it shares, and verifies the rest exactly, so that nothing
+    but links leaves it.
+    """
+    chunks = F.ceil(F.col("c") / CHUNK).cast("int")
+    own = F.pmod(F.xxhash64("fp"), F.col("m")).cast("int")
+    dealt = members.withColumn("m", chunks).withColumn("x", own).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    dealt = dealt.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "fp", "text")
+    m = bands * rows
+
+    def compare(key: int, i: int, j: int, x: list[int], fps: list[bytes], texts: list[bytes]):
+        order = sorted(range(len(fps)), key=lambda n: fps[n])
+        x, fps, texts = ([v[n] for n in order] for v in (x, fps, texts))
+        buf, offs = K.column_bytes(pa.array(texts, pa.binary()))
+        hashes, _, _, first = K.words(buf, offs)
+        e, r, c = K.counted(*K.shingles(hashes, first, k))
+        sig = prob_minhash(e, c, r, len(fps), m)
+        keys = band_keys(sig, bands, rows)
+        band = int(np.flatnonzero((keys == key).all(axis=0))[0])
+        ends = np.searchsorted(r, np.arange(len(fps) + 1))
+        side = np.array(x)
+        for n in range(len(fps) - 1):
+            rest = np.arange(n + 1, len(fps))
+            if i != j:  # pairs within a chunk are another task's
+                rest = rest[side[rest] != side[n]]
+            rest = rest[(sig[rest] == sig[n]).mean(axis=1) >= least - 0.15]
+            rest = rest[~(keys[rest, :band] == keys[n, :band]).any(axis=1)]
+            for o in rest:
+                if probability_jaccard((e[ends[n] : ends[n + 1]], c[ends[n] : ends[n + 1]]), (e[ends[o] : ends[o + 1]], c[ends[o] : ends[o + 1]])) >= least - 1e-9:
+                    yield fps[n], fps[o]
+
+    def run(batches):
+        def groups():
+            now, group = None, ([], [], [])
+            for batch in batches:
+                for ky, i, j, x, fp, text in zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "x", "fp", "text")), strict=True):
+                    if (ky, i, j) != now:
+                        if now:
+                            yield *now, *group
+                        now, group = (ky, i, j), ([], [], [])
+                    for to, v in zip(group, (x, fp, text), strict=True):
+                        to.append(v)
+            if now:
+                yield *now, *group
+
+        for g in groups():
+            found = list(compare(*g))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in zip(*found, strict=True)], names=["a", "b"])
+
+    place = ["key", "i", "j"]
+    return map_arrow(dealt.repartition(*place).sortWithinPartitions(*place), run, "a binary, b binary")
+
+
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """Two tables: each row's (id, fp), and per fingerprint (fp, class: least fingerprint of its class, n: rows, least: smallest id and how many rows have it)."""
     spark = df.sparkSession
     signed = materialise(signatures(df, id_col, text_col, bands, rows, k), "signatures")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"))
-    nodes = signed.groupBy("fp").agg(F.count("*").alias("n"), F.min(order).alias("least"))
-    buckets = signed.select("fp", F.explode("keys").alias("key")).distinct()
-    full = buckets.groupBy("key").agg(F.min("fp").alias("top"), F.max("fp").alias("low")).filter("top <> low").select("key", "top")
-    shared = materialise(buckets.join(full, "key"), "buckets")  # nodes with company, with the first of their bucket
-    pairs = materialise(shared.filter("fp <> top").select(F.col("top").alias("a"), F.col("fp").alias("b")).distinct(), "pairs")
-    wanted = shared.select("fp").distinct()
+    nodes = materialise(signed.groupBy("fp").agg(F.count("*").alias("n"), F.min(order).alias("least"), F.first("keys").alias("keys")), "nodes")
+    buckets = nodes.select("fp", F.explode("keys").alias("key"))
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    shared = materialise(buckets.join(sizes, "key"), "buckets")  # nodes with company
+    central = shared.groupBy("fp").agg(F.sum("c").alias("w"))
+    weighted = shared.join(central, "fp").select("fp", "key", F.struct("w", "fp").alias("by"))
+    tops = weighted.groupBy("key").agg(F.max("by").alias("top"))
+    pairs = weighted.join(tops, "key").select("fp", F.col("top.fp").alias("top")).filter("fp <> top")
+    pairs = materialise(pairs.select(F.least("fp", "top").alias("a"), F.greatest("fp", "top").alias("b")).distinct(), "pairs")
     if pairs.isEmpty():
         roots = spark.createDataFrame([], "node binary, root binary")
     else:
         whole = with_fingerprint(df.select(F.col(text_col).cast("binary").alias("t")), "t").select("fp", F.col("row.c0").alias("text"))
-        texts = materialise(whole.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "texts")
-        links = materialise(verified(pairs, texts, least, k), "links")
-        seen = pairs
-        roots = components(links.select("a", "b"))
-        for _ in range(ROUNDS):
-            named = shared.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
-            each = named.groupBy("key", "root").agg(F.min("fp").alias("fp"))
-            several = each.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-            each = materialise(each.join(several, "key", "left_semi"), "open")
-            a, b = each.select("key", F.col("fp").alias("a")), each.select("key", F.col("fp").alias("b"))
-            fresh = a.join(b, "key").filter("a < b").select("a", "b").distinct().join(seen, ["a", "b"], "left_anti")
-            fresh = materialise(fresh, "pairs")
-            if fresh.isEmpty():
-                break
-            more = materialise(verified(fresh, texts, least, k), "links")
+        texts = materialise(whole.join(central, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "texts")
+        links = materialise(verified(pairs, texts, least, k).select("a", "b"), "links")
+        roots = components(links)
+        for turn in range(ROUNDS):
+            named = weighted.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "by", F.coalesce("root", "fp").alias("root"))
+            best = F.max("by") if not turn else F.max_by("by", F.xxhash64("by", F.lit(turn)))
+            each = named.groupBy("key", "root").agg(best["fp"].alias("fp"))
+            open_ = each.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+            more = materialise(links_within(each.join(open_, "key").join(texts, "fp"), least, k, bands, rows), "links")
             if more.isEmpty():
                 break
-            seen, links = seen.unionByName(fresh), links.unionByName(more)
-            roots = components(links.select("a", "b"))
+            links = links.unionByName(more)
+            roots = components(links)
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("class"), "n", "least")
     return signed.select("id", "fp"), named
 
