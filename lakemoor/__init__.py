@@ -2,7 +2,8 @@
 
 from lakemoor.errors import CommitConflictError, EngineError
 from lakemoor.operators.compaction import compact
-from lakemoor.sources.scan import scan_dataset, versions
+from lakemoor.plans.pushdown import explain_pushdown
+from lakemoor.sources.scan import pull, scan_dataset, versions
 from lakemoor.sources.write import sink_dataset, write_dataset
 
-__all__ = ["CommitConflictError", "EngineError", "compact", "scan_dataset", "sink_dataset", "versions", "write_dataset"]
+__all__ = ["CommitConflictError", "EngineError", "compact", "explain_pushdown", "pull", "scan_dataset", "sink_dataset", "versions", "write_dataset"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import batched
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,19 @@ def scan_dataset(spark: SparkSession, source: str | Path, *, storage_options: di
     return df
 
 
+def pull(df: DataFrame, *, batch_size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows of a query as Arrow batches, one partition at a time, so the caller holds one at most.
+
+    ``batch_size`` is the number of rows of a batch; 0 or None leaves it to the engine.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = to_arrow_schema(df.schema)
+    with translating():
+        for rows in batched(df.toLocalIterator(), batch_size or 10_000, strict=False):
+            yield pa.RecordBatch.from_pylist([r.asDict(recursive=True) for r in rows], schema=schema)
+
+
 def versions(spark: SparkSession, source: str | Path) -> list[int]:
     """The versions of a dataset."""
     return Store(spark, resolve_uri(source)).versions()

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lakemoor import CommitConflictError, EngineError, compact, scan_dataset, sink_dataset, versions, write_dataset
+from lakemoor import CommitConflictError, EngineError, compact, pull, scan_dataset, sink_dataset, versions, write_dataset
 from lakemoor.plans.pushdown import explain_pushdown
 from lakemoor.sources.manifest import Manifest, Store
 from lakemoor.types import from_arrow, storable
@@ -258,3 +258,12 @@ def test_streaming_batches_are_written_once(spark, tmp_path):
 def test_scan_of_plain_parquet(spark):
     df = scan_dataset(spark, "/root/testdata/sf0.001/orders.parquet")
     assert df.count() == 1500
+
+
+def test_pull(spark, tmp_path):
+    write_dataset(spark.range(25).select("id", F.struct(F.col("id").alias("x")).alias("st")).coalesce(1), tmp_path / "d")
+    df = scan_dataset(spark, tmp_path / "d")
+    batches = list(pull(df, batch_size=10))
+    assert [b.num_rows for b in batches] == [10, 10, 5]
+    assert [r["st"]["x"] for b in batches for r in b.to_pylist()] == list(range(25))
+    assert sum(b.num_rows for b in pull(df, batch_size=0)) == 25
