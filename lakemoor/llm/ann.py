@@ -9,10 +9,11 @@ means, so that prefixes follow the large structure of the data; the others are s
 projections about the mean. Means are fitted on at most ``SAMPLE`` vectors, those with the smallest
 id hash. Every vector is indexed.
 
-Vectors are dealt out at random into shards of about ``SHARD`` rows, each with its own forest, and
-queries into blocks; each task answers one block from one shard, and a query's ten nearest of all
-shards are merged by a partial aggregation. A shard holds its share of any hot vector or cluster, so
-tasks are even whatever the data, and no list of candidates leaves its task.
+Vectors are dealt out at random into shards of about ``SHARD`` rows, each with its own forest. A
+task takes up a shard's vectors, then answers the queries as they stream in, block by block; each
+vector is shuffled once, each query once for each shard. What a query finds in the shards, ten rows
+each, is merged. A shard holds its share of any hot vector or cluster, so tasks are even whatever
+the data, and no list of candidates leaves its task.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, or have another
 length than most of the sample, take no part, neither as query nor as candidate; ties go to the
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemoor.llm.shared import ship
+from lakemoor.llm.shared import map_arrow
 
 TREES, BITS, HEAD, PIVOTS = 16, 48, 20, 24
-SAMPLE, SHARD, BLOCK = 4096, 8192, 2048
+SAMPLE, SHARD, BLOCK = 4096, 8192, 1024
 #: Candidates that the trees together gather in a shard before they stop (one in several trees counts for each), as a share of its rows, and at least.
 SHARE, LEAST = 1.2, 4000
 
@@ -101,7 +102,6 @@ def valid(column: str):
 def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding", share: float = SHARE) -> DataFrame:
     """For each row whose id is divisible by ``every``, its ``k`` nearest other rows: query_id, rank, vec_id, score (Euclidean distance)."""
     spark = df.sparkSession
-    ship(spark)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & valid("v"))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -112,30 +112,43 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
     dirs, turn = directions(np.array([r["v"] for r in sample if len(r["v"]) == d]))
     rows = rows.filter(F.size("v") == d)
     queries = rows.filter(F.col("id") % every == 0)
-    n, nq = rows.count(), queries.count()
-    if not nq:
-        return empty
-    shards, blocks = max(1, round(n / SHARD)), max(1, -(-nq // BLOCK))
-    salt = lambda m, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(m)).cast("int")
-    numbers = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    data = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"), numbers(blocks).alias("block"))
-    asked = queries.dropDuplicates(["id"]).select("id", "v", salt(blocks, 2).alias("block"), numbers(shards).alias("shard"))
-
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if left.num_rows and right.num_rows:
-            matrix = lambda t: t.column("v").combine_chunks().flatten().to_numpy().reshape(-1, d)
-            ids, vectors = left.column("id").to_numpy(), matrix(left)
-            forest = Forest(ids, vectors, dirs, turn)
-            q_ids, q = right.column("id").to_numpy(), matrix(right)
-            for i, places in enumerate(forest.search(q, max(LEAST, int(share * len(ids))))):
-                places = places[ids[places] != q_ids[i]]
-                score = np.sqrt(((vectors[places] - q[i]) ** 2).sum(axis=1))
-                best = np.lexsort((ids[places], score))[:k]
-                out.append((np.full(len(best), q_ids[i]), ids[places][best], score[best]))
-        cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table({"query_id": cols[0], "vec_id": cols[1], "score": cols[2]})
-
-    found = data.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(answer, "query_id long, vec_id long, score double")
+    shards = max(1, round(rows.count() / SHARD))
+    data = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "v")
+    asked = queries.dropDuplicates(["id"]).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "id", "v")
+
+    def answer(batches):
+        shard, ids, vectors, forest = None, [], [], None
+        for batch in batches:
+            at = batch.column("shard").to_numpy()
+            kind = batch.column("kind").to_numpy()
+            cuts = [0, *(np.flatnonzero((np.diff(at) != 0) | (np.diff(kind) != 0)) + 1), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                if at[lo] != shard:
+                    shard, ids, vectors, forest = at[lo], [], [], None
+                part = batch.slice(lo, hi - lo)
+                own, matrix = part.column("id").to_numpy(), part.column("v").flatten().to_numpy().reshape(-1, d)
+                if kind[lo] == 0:
+                    ids.append(own)
+                    vectors.append(matrix)
+                    continue
+                if forest is None and ids:
+                    forest = Forest(np.concatenate(ids), np.concatenate(vectors), dirs, turn)
+                for k0 in range(0, len(own) if forest else 0, BLOCK):
+                    yield found_in(forest, own[k0 : k0 + BLOCK], matrix[k0 : k0 + BLOCK])
+
+    def found_in(forest: Forest, q_ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+        out = []
+        ids, vectors = forest.ids, forest.vectors
+        for i, places in enumerate(forest.search(q, max(LEAST, int(share * len(ids))))):
+            places = places[ids[places] != q_ids[i]]
+            score = np.sqrt(((vectors[places] - q[i]) ** 2).sum(axis=1))
+            best = np.lexsort((ids[places], score))[:k]
+            out.append((np.full(len(best), q_ids[i]), ids[places][best], score[best]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["query_id", "vec_id", "score"])
+
+    dealt = data.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
+    found = map_arrow(dealt, answer, "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
