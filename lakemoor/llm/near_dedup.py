@@ -99,19 +99,27 @@ def signatures(df: DataFrame, id_col: str, text_col: str, bands: int = BANDS, ro
     return map_arrow(rows_, run, "id long, fp binary, keys array<long>")
 
 
-def with_fingerprint(df: DataFrame, text_col: str) -> DataFrame:
-    """(fp, row): the whole row as a struct beside its fingerprint."""
+def with_fingerprint(df: DataFrame, text_col: str, once: bool = False) -> DataFrame:
+    """(fp, row): the whole row as a struct beside its fingerprint; once: of rows of a partition with equal fingerprints about one, so that copies do not meet in one task."""
     from pyspark.sql import types as T
 
     kind = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema.fields)])
 
     def run(batches):
+        seen: set[bytes] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 buf, offs = K.column_bytes(part.column("text"))
                 hashes, _, _, first = K.words(buf, offs)
-                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(buf, offs, hashes, first), pa.binary()), part.column("row")], names=["fp", "row"])
+                fps = fingerprints(buf, offs, hashes, first)
+                out = pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), part.column("row")], names=["fp", "row"])
+                if once:
+                    if len(seen) > 500_000:
+                        seen.clear()
+                    new = [fp not in seen and not seen.add(fp) for fp in fps]
+                    out = out.filter(pa.array(new))
+                yield out
 
     rows = df.select(F.col(text_col).cast("binary").alias("text"), F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("row"))
     return map_arrow(rows, run, T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("row", kind)]))
@@ -230,7 +238,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     if pairs.isEmpty():
         roots = spark.createDataFrame([], "node binary, root binary")
     else:
-        whole = with_fingerprint(df.select(F.col(text_col).cast("binary").alias("t")), "t").select("fp", F.col("row.c0").alias("text"))
+        whole = with_fingerprint(df.select(F.col(text_col).cast("binary").alias("t")), "t", once=True).select("fp", F.col("row.c0").alias("text"))
         texts = materialise(whole.join(central, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "texts")
         links = materialise(verified(pairs, texts, least, k).select("a", "b"), "links")
         roots = components(links)

@@ -47,7 +47,8 @@ PATTERNS = 4
 
 
 def held_out(id_col: str):
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
+    """Whether crc32(id as text) mod 5 is 0; a null id is not held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def lexicon_hashes(text: str) -> np.ndarray:
