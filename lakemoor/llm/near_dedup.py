@@ -14,10 +14,10 @@ counts once this is the plain Jaccard similarity of the shingle sets.)
    the most company over all its buckets (of near copies of one text, the text itself); the pairs,
    distinct over bands, are verified exactly on whole texts. At similarity 0.8 a pair shares some
    bucket with probability 0.9997.
-4. Links become components. Buckets that still hold several components are looked at again, with one
-   node for each (bucket, component): these are verified with each other, until a round adds no
-   link, at most twice. So a group of near copies costs one pair a member, and what is compared
-   pairwise are the components that share a bucket without being linked.
+4. Links become components. In a bucket that still holds several components every node outside the
+   largest one is compared with all nodes of the other components. So a group of near copies costs
+   one pair a member, and every pair that shares a bucket is either compared or in one component
+   already: no link within a bucket stays unseen.
 
 Defined cases: null text counts as empty; texts of one to four words have one shingle of all of
 them; texts without words are linked only if their bytes are equal; a null doc_id is larger than
@@ -39,7 +39,6 @@ from lakemoor.llm.components import components
 from lakemoor.llm.shared import map_arrow, materialise
 
 SHINGLE, BANDS, ROWS, LEAST = 5, 20, 5, 0.8
-ROUNDS = 2
 #: Members of a bucket that meet in one task, at most about twice as many.
 CHUNK = 500
 
@@ -164,22 +163,27 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFr
 
 
 def links_within(members: DataFrame, least: float, k: int, bands: int, rows: int) -> DataFrame:
-    """The links between members of one bucket: (key, c: its size, fp, text) -> (a, b).
+    """The links between components of one bucket: (key, fp, text, root: its component, large: whether that is the bucket's largest, inside, outside: nodes in it and in the others) -> (a, b).
 
-    Large buckets are cut into chunks, and a task sees one pair of chunks at a time. It compares
+    All nodes of the bucket have to be there. Those outside the largest component meet each other and
+    those inside; both are cut into chunks, and a task sees one pair of chunks at a time. It compares
     signatures (those at least 0.15 below the threshold are out, nearly four standard deviations),
-    leaves a pair to the first band that it shares, and verifies the rest exactly, so that nothing
-    but links leaves it.
+    leaves a pair to the first band that it shares (where both are members, too), and verifies the
+    rest exactly, but for pairs of components that it has linked, so that nothing but links leaves it.
     """
-    chunks = F.ceil(F.col("c") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("m")).cast("int")
-    dealt = members.withColumn("m", chunks).withColumn("x", own).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    dealt = dealt.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "fp", "text")
+    n_out, n_in = F.ceil(F.col("outside") / CHUNK).cast("int"), F.ceil(F.col("inside") / CHUNK).cast("int")
+    h = F.xxhash64("fp")
+    own = F.when(F.col("large"), n_out + F.pmod(h, n_in)).otherwise(F.pmod(h, n_out)).cast("int")
+    met = F.when(F.col("large"), n_out).otherwise(n_out + n_in)
+    dealt = members.withColumn("x", own).withColumn("y", F.explode(F.sequence(F.lit(0), met - 1)))
+    dealt = dealt.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "root", "fp", "text")
     m = bands * rows
 
-    def compare(key: int, i: int, j: int, x: list[int], fps: list[bytes], texts: list[bytes]):
+    def compare(key: int, i: int, j: int, x: list[int], roots: list[bytes], fps: list[bytes], texts: list[bytes]):
+        if len(set(roots)) == 1:
+            return
         order = sorted(range(len(fps)), key=lambda n: fps[n])
-        x, fps, texts = ([v[n] for n in order] for v in (x, fps, texts))
+        x, roots, fps, texts = ([v[n] for n in order] for v in (x, roots, fps, texts))
         buf, offs = K.column_bytes(pa.array(texts, pa.binary()))
         hashes, _, _, first = K.words(buf, offs)
         e, r, c = K.counted(*K.shingles(hashes, first, k))
@@ -187,27 +191,29 @@ def links_within(members: DataFrame, least: float, k: int, bands: int, rows: int
         keys = band_keys(sig, bands, rows)
         band = int(np.flatnonzero((keys == key).all(axis=0))[0])
         ends = np.searchsorted(r, np.arange(len(fps) + 1))
-        side = np.array(x)
+        side, part = np.array(x), np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
         for n in range(len(fps) - 1):
             rest = np.arange(n + 1, len(fps))
             if i != j:  # pairs within a chunk are another task's
                 rest = rest[side[rest] != side[n]]
+            rest = rest[part[rest] != part[n]]
             rest = rest[(sig[rest] == sig[n]).mean(axis=1) >= least - 0.15]
             rest = rest[~(keys[rest, :band] == keys[n, :band]).any(axis=1)]
             for o in rest:
-                if probability_jaccard((e[ends[n] : ends[n + 1]], c[ends[n] : ends[n + 1]]), (e[ends[o] : ends[o + 1]], c[ends[o] : ends[o + 1]])) >= least - 1e-9:
+                if part[o] != part[n] and probability_jaccard((e[ends[n] : ends[n + 1]], c[ends[n] : ends[n + 1]]), (e[ends[o] : ends[o + 1]], c[ends[o] : ends[o + 1]])) >= least - 1e-9:
+                    part[part == part[o]] = part[n]
                     yield fps[n], fps[o]
 
     def run(batches):
         def groups():
-            now, group = None, ([], [], [])
+            now, group = None, ([], [], [], [])
             for batch in batches:
-                for ky, i, j, x, fp, text in zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "x", "fp", "text")), strict=True):
+                for ky, i, j, x, root, fp, text in zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "x", "root", "fp", "text")), strict=True):
                     if (ky, i, j) != now:
                         if now:
                             yield *now, *group
-                        now, group = (ky, i, j), ([], [], [])
-                    for to, v in zip(group, (x, fp, text), strict=True):
+                        now, group = (ky, i, j), ([], [], [], [])
+                    for to, v in zip(group, (x, root, fp, text), strict=True):
                         to.append(v)
             if now:
                 yield *now, *group
@@ -242,16 +248,14 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
         texts = materialise(whole.join(central, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "texts")
         links = materialise(verified(pairs, texts, least, k).select("a", "b"), "links")
         roots = components(links)
-        for turn in range(ROUNDS):
-            named = weighted.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "by", F.coalesce("root", "fp").alias("root"))
-            best = F.max("by") if not turn else F.max_by("by", F.xxhash64("by", F.lit(turn)))
-            each = named.groupBy("key", "root").agg(best["fp"].alias("fp"))
-            open_ = each.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-            more = materialise(links_within(each.join(open_, "key").join(texts, "fp"), least, k, bands, rows), "links")
-            if more.isEmpty():
-                break
-            links = links.unionByName(more)
-            roots = components(links)
+        named = materialise(shared.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root")), "named")
+        each = named.groupBy("key", "root").agg(F.count("*").alias("c"))
+        open_ = each.groupBy("key").agg(F.count("*").alias("several"), F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("most")).filter("several > 1")
+        open_ = open_.select("key", F.col("most.root").alias("largest"), F.col("most.c").alias("inside"), (F.col("all") - F.col("most.c")).alias("outside"))
+        members = named.join(open_, "key").withColumn("large", F.expr("root = largest")).join(texts, "fp")
+        more = materialise(links_within(members, least, k, bands, rows), "links")
+        if not more.isEmpty():
+            roots = components(links.unionByName(more))
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("class"), "n", "least")
     return signed.select("id", "fp"), named
 

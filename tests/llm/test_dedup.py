@@ -150,6 +150,29 @@ def test_near_against_brute_force(frame):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c, _ in want})
 
 
+def changed(words, places, name):
+    """4 words of 200 replaced: similarity 0.815."""
+    v = list(words)
+    for j in places:
+        v[j] = f"{name}x{j}"
+    return v
+
+
+def test_near_copies_of_copies(frame):
+    base = prose(300, 400).split()[:200]
+    rows, first = [(0, base)], [3, 53, 103, 153]
+    for i in range(1, 700):
+        rows.append((i, changed(base, [p + i % 17 for p in first], f"m{i}")))
+    for i in range(1, 31):
+        rows.append((1000 + i, changed(rows[i][1], [p + 25 for p in first], f"n{i}")))
+    texts = {i: " ".join(w) for i, w in rows}
+    for i in range(1, 31):
+        copy, member = bag(texts[1000 + i]), bag(texts[i])
+        assert jp(copy, member) >= 0.8 > 0.7 > jp(copy, bag(texts[0])) and jp(member, bag(texts[0])) >= 0.8
+    got = Counter((r.class_id, r.class_size) for r in near_dedup(frame(list(texts.items()))).collect())
+    assert got == {(0, len(texts)): len(texts)}
+
+
 def test_near_odd_rows(frame, odd_docs):
     rows = [r for r in odd_docs if len(r[1] or "") < 10000] + [(31, prose(1, 3000)), (32, prose(1, 3000) + " tail")]
     want = brute(rows)
