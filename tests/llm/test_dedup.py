@@ -173,6 +173,20 @@ def test_near_copies_of_copies(frame):
     assert got == {(0, len(texts)): len(texts)}
 
 
+def test_near_groups_linked_by_other_members(frame):
+    """Two groups of near copies whose only link is between members that stand for neither."""
+    base, first = prose(400, 400).split()[:200], [3, 53, 103, 153]
+    x = changed(base, first, "x")
+    y = changed(x, [p + 12 for p in first], "y")
+    other = changed(y, [p + 24 for p in first], "z")
+    rows = [(0, base), (1, x), (2, y), (3, other)]
+    for i in range(30):
+        rows += [(100 + i, changed(base, [p + 30 + i % 10 for p in first], f"p{i}")), (200 + i, changed(other, [p + 30 + i % 10 for p in first], f"q{i}"))]
+    texts = {i: " ".join(w) for i, w in rows}
+    assert jp(bag(texts[1]), bag(texts[2])) >= 0.8 > max(jp(bag(texts[0]), bag(texts[2])), jp(bag(texts[1]), bag(texts[3])))
+    assert {r.class_size for r in near_dedup(frame(list(texts.items()))).collect()} == {len(texts)}
+
+
 def test_near_odd_rows(frame, odd_docs):
     rows = [r for r in odd_docs if len(r[1] or "") < 10000] + [(31, prose(1, 3000)), (32, prose(1, 3000) + " tail")]
     want = brute(rows)
