@@ -54,12 +54,12 @@ NAMES = [
     ("ofl", "font", "(?:sil )?open font license(?: version)?(?: 1 [01])?", "ofl 1 [01]"),
     ("eupl", "eu", "european union public licen[cs]e(?: version)?(?: 1 [12])?|eupl", "eupl 1 [12]"),
     ("odbl", "open data", "open (?:data commons )?(?:open )?database license", "odbl 1 0"),
-    ("cc0", "cc", "cc0|cc zero|creative commons zero", "cc0 1 0"),
-    ("cc-by-nc-nd", "nd", "cc by nc nd(?: [1-4] 0)?|creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: [1-4] 0)?", "cc by nc nd [1-4] 0"),
+    ("cc0", "c", "cc0|cc zero|creative commons zero", "cc0 1 0"),
+    ("cc-by-nc-nd", "d", "cc by nc nd(?: [1-4] 0)?|creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: [1-4] 0)?", "cc by nc nd [1-4] 0"),
     ("cc-by-nc-sa", "sa", "cc by nc sa(?: [1-4] 0)?", "cc by nc sa [1-4] 0"),
     ("cc-by-nc-sa", "share", "creative commons attribution non ?commercial share ?alike(?: [1-4] 0)?", "cc by nc sa"),
     ("cc-by-nc", "c", "cc by nc(?: [1-4] 0)?|creative commons attribution non ?commercial(?: [1-4] 0)?", "cc by nc [1-4] 0"),
-    ("cc-by-nd", "nd", "cc by nd(?: [1-4] 0)?|creative commons attribution no ?deriv(?:ative)?s?(?: [1-4] 0)?", "cc by nd [1-4] 0"),
+    ("cc-by-nd", "d", "cc by nd(?: [1-4] 0)?|creative commons attribution no ?deriv(?:ative)?s?(?: [1-4] 0)?", "cc by nd [1-4] 0"),
     ("cc-by-sa", "s", "cc by sa(?: [1-4] 0)?|creative commons attribution share ?alike(?: [1-4] 0)?", "cc by sa [1-4] 0"),
     ("cc-by", "c", "cc by(?: [1-4] 0)?|creative commons attribution(?: [1-4] 0)?", "cc by [1-4] 0"),
     ("public-domain", "public domain", "public domain", "public domain"),
@@ -75,7 +75,7 @@ NAMES = [
 FORMS = [
     ("spdx", 0, "spdx", "spdx license identifier (?:{spdx})", 1.0),
     ("licensed", 1, "licensed", "licensed under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
-    ("released", 1, "released", "(?:released|published) under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
+    ("released", 1, "ed under", "(?:released|published) under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
     ("distributed", 1, "distributed", "distributed under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
     ("available", 1, "available", "(?:made )?available under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?", 0.9),
     ("terms", 2, "terms", "(?:subject to|under) the terms of the (?:{name})(?: licen[cs]e)?", 0.9),
@@ -104,6 +104,7 @@ def rules() -> list[tuple[int, int, str, str, str, float, str]]:
     out = []
     for _, priority, keyword, form, weight in FORMS:
         for label, key, name, spdx in NAMES:
+            key = key if "{name}" in form else keyword  # an SPDX identifier need not hold the long name's keyword
             out.append((priority, keyword, key, form.format(name=name, spdx=spdx), weight, label))
     out += [(priority, keyword, keyword, expression, weight, label) for label, priority, keyword, expression, weight in NOTICES]
     out.sort(key=lambda r: r[0])

@@ -50,6 +50,48 @@ def test_rules_have_anchors_and_hundreds():
         assert any(a in line for a in ANCHORS)
 
 
+def spellings(x, seed):
+    """A text that the expression matches, its choices made by ``seed``."""
+    rng = np.random.default_rng(seed)
+
+    def made(parsed):
+        out = ""
+        for op, v in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                out += chr(v)
+            elif name == "IN":
+                kind, one = v[int(rng.integers(len(v)))]
+                out += chr(int(rng.integers(one[0], one[1] + 1)) if str(kind) == "RANGE" else one)
+            elif name == "BRANCH":
+                out += made(v[1][int(rng.integers(len(v[1])))])
+            elif name == "SUBPATTERN":
+                out += made(v[3])
+            else:
+                assert name == "MAX_REPEAT"
+                out += "".join(made(v[2]) for _ in range(int(rng.integers(v[0], v[1] + 1))))
+        return out
+
+    text = made(re._parser.parse(x))
+    assert re.fullmatch(x, text)
+    return text
+
+
+def test_rules_pass_their_own_keywords():
+    for i, _, k1, k2, x, _, label in rules():
+        for seed in range(60):
+            text = f" {spellings(x, 100 * i + seed)} "
+            assert k1 in text and k2 in text, (label, x, text)
+
+
+def test_spdx_identifiers(frame):
+    lines = ["EPL-2.0", "CDDL-1.0", "GFDL-1.3", "BSL-1.0", "PSF-2.0", "OFL-1.1", "ODbL-1.0", "MS-PL", "MS-RL", "UPL-1.0", "AFL-3.0", "OSL-3.0", "SSPL-1.0", "BUSL-1.1"]
+    rows = [(i, f"SPDX-License-Identifier: {x}") for i, x in enumerate(lines)]
+    got = {r.doc_id: r for r in scan_licenses(frame(rows)).collect()}
+    for i, text in rows:
+        assert got[i].labels == expected(text)[5] != "" and got[i].score == 1.0
+
+
 def labelled(spark, n, bad, column, longer=False):
     """Every fourth text holds a bad word; longer: these alone have more words of other kinds, too."""
     rows = [(i, prose(i, 60) + (" " + bad(i) + " " + prose(i + 9999, 20) if i % 4 == 0 else "" if longer else " " + prose(i + 9999, 21))) for i in range(n)]
