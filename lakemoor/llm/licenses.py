@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: The base phrases, word by word, and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: A text with no such string has no match of any rule.
-ANCHORS = ["licen", "copyright", "gpl", "spdx", "cc by", "cc0", "creative commons", "public domain", "rights reserved", "apache", "mozilla public", "gnu ", "permission is hereby granted", "without warranty", "redistribution and use"]
 #: Label, keyword, how it is written (a regular expression over words), its SPDX identifier (likewise).
 NAMES = [
     ("mit", "mit", "(?:expat )?mit", "mit"),
@@ -74,11 +72,11 @@ NAMES = [
 #: Kind, priority (0 is best), keyword, the expression around a name, weight.
 FORMS = [
     ("spdx", 0, "spdx", "spdx license identifier (?:{spdx})", 1.0),
-    ("licensed", 1, "licensed", "licensed under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
+    ("licensed", 1, "licensed under", "licensed under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
     ("released", 1, "ed under", "(?:released|published) under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
-    ("distributed", 1, "distributed", "distributed under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
-    ("available", 1, "available", "(?:made )?available under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?", 0.9),
-    ("terms", 2, "terms", "(?:subject to|under) the terms of the (?:{name})(?: licen[cs]e)?", 0.9),
+    ("distributed", 1, "distributed under", "distributed under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?(?: version [0-9](?: [0-9])?)?", 0.95),
+    ("available", 1, "available under", "(?:made )?available under (?:a |an |the )?(?:terms of the )?(?:{name})(?: licen[cs]e)?", 0.9),
+    ("terms", 2, "the terms of the", "(?:subject to|under) the terms of the (?:{name})(?: licen[cs]e)?", 0.9),
     ("field", 2, "licen", "licen[cs]e (?:is |type )?(?:the )?(?:{name})", 0.7),
     ("mention", 3, "licen", "(?:{name}) licen[cs]e", 0.6),
 ]
@@ -111,6 +109,11 @@ def rules() -> list[tuple[int, int, str, str, str, float, str]]:
     return [(i, *r) for i, r in enumerate(out)]
 
 
+#: A text with no such string has no match of any rule or base phrase: the keywords of forms and notices, without those that hold another.
+ANCHORS = sorted({r[2] for r in rules()} | set(BASE))
+ANCHORS = [a for a in ANCHORS if not any(b != a and b in a for b in ANCHORS)]
+
+
 def spaces(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
 

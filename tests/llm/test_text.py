@@ -84,6 +84,12 @@ def test_rules_pass_their_own_keywords():
             assert k1 in text and k2 in text, (label, x, text)
 
 
+def test_no_rule_is_kept_out_by_the_anchors():
+    lines = ["released under mit", "distributed under the bsd", "available under isc", "published under mpl 2 0", "under the terms of the eupl"]
+    lines += [spellings(x, 100 * i + seed) for i, _, _, _, x, _, _ in rules() for seed in range(60)] + list(BASE)
+    assert not [x for x in lines if not any(a in f" {x} " for a in ANCHORS)]
+
+
 def test_spdx_identifiers(frame):
     lines = ["EPL-2.0", "CDDL-1.0", "GFDL-1.3", "BSL-1.0", "PSF-2.0", "OFL-1.1", "ODbL-1.0", "MS-PL", "MS-RL", "UPL-1.0", "AFL-3.0", "OSL-3.0", "SSPL-1.0", "BUSL-1.1"]
     rows = [(i, f"SPDX-License-Identifier: {x}") for i, x in enumerate(lines)]
