@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemoor.llm.shared import materialise
+from lakemoor.llm.shared import discard, materialise
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a <> b")
         down = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(down, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).filter("x <> y")
-        now = materialise(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        last, now = now, materialise(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        discard(last)
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 

@@ -17,7 +17,7 @@ counts once this is the plain Jaccard similarity of the shingle sets.)
 4. Links become components. In a bucket that still holds several components every node outside the
    largest one is compared with all nodes of the other components. So a group of near copies costs
    one pair a member, and every pair that shares a bucket is either compared or in one component
-   already: no link within a bucket stays unseen.
+   already: no link within a bucket stays unseen, as no estimate rules a pair out, only bounds do.
 
 Defined cases: null text counts as empty; texts of one to four words have one shingle of all of
 them; texts without words are linked only if their bytes are equal; a null doc_id is larger than
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lakemoor.llm import textkernel as K
 from lakemoor.llm.components import components
-from lakemoor.llm.shared import map_arrow, materialise
+from lakemoor.llm.shared import discard, map_arrow, materialise
 
 SHINGLE, BANDS, ROWS, LEAST = 5, 20, 5, 0.8
 #: Members of a bucket that meet in one task, at most about twice as many.
@@ -139,6 +139,12 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1 / ((only_w + sum_w[-1] - sum_w[below]) / w + (only_v + sum_v[below]) / v)).sum())
 
 
+def profiles(elements: np.ndarray, rows: np.ndarray, weights: np.ndarray, n: int, places: int = 256) -> np.ndarray:
+    """(n, places): the share of each set's weight in each hash place. The overlap of two profiles (the sum of the smaller shares) is never below their similarity."""
+    out = np.bincount(rows * places + (elements >> np.uint64(40)).astype(np.int64) % places, weights=weights, minlength=n * places).reshape(n, places)
+    return (out / np.maximum(out.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFrame:
     """The pairs (a, b) of fingerprints whose texts' similarity is at least ``least``. texts: (fp, text), one row a fingerprint."""
     both = pairs.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a")
@@ -166,10 +172,10 @@ def links_within(members: DataFrame, least: float, k: int, bands: int, rows: int
     """The links between components of one bucket: (key, fp, text, root: its component, large: whether that is the bucket's largest, inside, outside: nodes in it and in the others) -> (a, b).
 
     All nodes of the bucket have to be there. Those outside the largest component meet each other and
-    those inside; both are cut into chunks, and a task sees one pair of chunks at a time. It compares
-    signatures (those at least 0.15 below the threshold are out, nearly four standard deviations),
-    leaves a pair to the first band that it shares (where both are members, too), and verifies the
-    rest exactly, but for pairs of components that it has linked, so that nothing but links leaves it.
+    those inside; both are cut into chunks, and a task sees one pair of chunks at a time. It leaves a
+    pair to the first band that it shares (where both are members, too) and verifies the others
+    exactly, but for those whose :func:`profiles` rule a link out and for pairs of components that it
+    has linked, so that nothing but links leaves it and no link is missed.
     """
     n_out, n_in = F.ceil(F.col("outside") / CHUNK).cast("int"), F.ceil(F.col("inside") / CHUNK).cast("int")
     h = F.xxhash64("fp")
@@ -191,14 +197,15 @@ def links_within(members: DataFrame, least: float, k: int, bands: int, rows: int
         keys = band_keys(sig, bands, rows)
         band = int(np.flatnonzero((keys == key).all(axis=0))[0])
         ends = np.searchsorted(r, np.arange(len(fps) + 1))
+        shares = profiles(e, r, c, len(fps))
         side, part = np.array(x), np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
         for n in range(len(fps) - 1):
             rest = np.arange(n + 1, len(fps))
             if i != j:  # pairs within a chunk are another task's
                 rest = rest[side[rest] != side[n]]
             rest = rest[part[rest] != part[n]]
-            rest = rest[(sig[rest] == sig[n]).mean(axis=1) >= least - 0.15]
             rest = rest[~(keys[rest, :band] == keys[n, :band]).any(axis=1)]
+            rest = rest[np.minimum(shares[rest], shares[n]).sum(axis=1) >= least - 1e-4]
             for o in rest:
                 if part[o] != part[n] and probability_jaccard((e[ends[n] : ends[n + 1]], c[ends[n] : ends[n + 1]]), (e[ends[o] : ends[o + 1]], c[ends[o] : ends[o + 1]])) >= least - 1e-9:
                     part[part == part[o]] = part[n]
@@ -255,7 +262,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
         members = named.join(open_, "key").withColumn("large", F.expr("root = largest")).join(texts, "fp")
         more = materialise(links_within(members, least, k, bands, rows), "links")
         if not more.isEmpty():
-            roots = components(links.unionByName(more))
+            roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more))
+        discard(texts, links, more, named)
+    discard(shared, pairs)
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("class"), "n", "least")
     return signed.select("id", "fp"), named
 

@@ -10,7 +10,7 @@ from llm_data import prose
 from lakemoor.llm import textkernel as K
 from lakemoor.llm.components import components
 from lakemoor.llm.exact_dedup import exact_dedup, grace, keep_first, normalise
-from lakemoor.llm.near_dedup import keep_one, near_dedup, prob_minhash, probability_jaccard
+from lakemoor.llm.near_dedup import keep_one, near_dedup, prob_minhash, probability_jaccard, profiles
 
 
 def plain(text):
@@ -187,6 +187,33 @@ def test_near_groups_linked_by_other_members(frame):
     assert {r.class_size for r in near_dedup(frame(list(texts.items()))).collect()} == {len(texts)}
 
 
+def test_near_chains_and_edit_clusters(frame):
+    """Windows that slide over one text, and copies of copies with some words edited: links in rows, with no centre."""
+    rng, texts = np.random.default_rng(3), []
+    for c in range(12):
+        w = prose(1000 + c, 400).split()
+        texts += [w[18 * k : 18 * k + 200] for k in range(12)]
+    for c in range(10):
+        members = [prose(5000 + c, 200).split()]
+        for k in range(13):
+            v = list(members[int(rng.integers(len(members)))])
+            for j in rng.choice(200, 3 + k % 4, replace=False):
+                v[j] = f"e{c}x{k}x{j}"
+            members.append(v)
+        texts += members
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    assert Counter(map(tuple, near_dedup(frame(rows)).collect())) == brute(rows)
+
+
+def test_profiles_bound_the_similarity():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        a, b = (Counter(map(int, rng.integers(0, 120, 90))) for _ in range(2))
+        (e, w), (f, v) = [(K.mix(np.array(sorted(x), dtype=np.uint64)), np.array([x[i] for i in sorted(x)])) for x in (a, b)]
+        shares = profiles(np.concatenate([e, f]), np.repeat([0, 1], [len(e), len(f)]), np.concatenate([w, v]), 2)
+        assert np.minimum(shares[0], shares[1]).sum() >= jp(a, b) - 1e-5
+
+
 def test_near_odd_rows(frame, odd_docs):
     rows = [r for r in odd_docs if len(r[1] or "") < 10000] + [(31, prose(1, 3000)), (32, prose(1, 3000) + " tail")]
     want = brute(rows)
