@@ -7,8 +7,8 @@ import pyarrow as pa
 import pytest
 from llm_data import prose
 
-from lakemoor.llm import quality, toxicity
-from lakemoor.llm.html_extract import extract_text, host_of, page_text, style_tree
+from lakemoor.llm import html_extract, quality, toxicity
+from lakemoor.llm.html_extract import blocks, entropies, extract_text, feature_counts, host_of, page_text
 from lakemoor.llm.licenses import ANCHORS, BASE, rules, scan_licenses
 from lakemoor.llm.linear import cumulative_link, sigmoid
 
@@ -166,18 +166,55 @@ def test_quality(spark, frame, odd_docs):
     assert all(r.selected for r in quality.score(docs, none).collect()) and quality.score(frame([]), model).collect() == []
 
 
+class Tied(dict):
+    """A tree that holds every style and tells nothing of it."""
+
+    def __contains__(self, style):
+        return True
+
+    def get(self, style, default=None):
+        return (0.0, 0.0)
+
+
 def test_html_pages():
-    same = lambda page, text: page_text(page, set()) == text
+    same = lambda page, text: page_text(page, Tied()) == text
     assert same("", "") and same("plain  text", "plain text") and same("a < b &lt;i&gt; &amp;amp;", "a < b <i> &amp;")
     assert same("<title>t</title><nav>n</nav><article><h1>T</h1><p>a<b>b</b> c<p>d<br>e</article><footer>f</footer>", "T\n\nab c\n\nd e")
     assert same("<body><header>H</header><div class='cookie-notice'>c</div><div id=main><p>One<li>x<li>y</div><section class=comments><p>zz</section><form>a<input></form>tail", "One\n\nx\n\ny\n\ntail")
-    assert same("<article><p>a<aside>no</aside>b</p><div class='ad'>x</div><script>if (a<b) '</p>'</script><!-- <p>c</p> --><table><tr><td>1<td>2</table></article><p>out", "a\n\nb\n\n1\n\n2")
+    assert same("<article><p>a<aside>no</aside>b</p><script>if (a<b) '</p>'</script><!-- <p>c</p> --><table><tr><td>1<td>2</table></article><p>out", "a\n\nb\n\n1\n\n2\n\nout")
     assert same("<article><p>cut off in a <a href='x", "cut off in a") and same("<p title='a>b'>x</p>", "x")
+    assert same("<article class=teaser>t</article><div class=story><p>s</div><nav>n</nav>", "t\n\ns")
+    assert same("<article><p>so <math><mi>x</mi></math> is<p class=notice>n<div class=share-price>5</div><div class=ad>x</div></article>", "so x is\n\nn\n\n5\n\nx")  # no word list cuts an article
+    assert same("<div class=entry-header><h1>T</h1></div><section id=discussion>d</section><div class=form-factor>f</div><div class='main-nav'>n</div>", "T\n\nd\n\nf")
+    assert page_text("<nav>n</nav><article>a</article><footer>f</footer>", {}) == "n\n\na\n\nf"  # a tree that holds nothing removes nothing
     assert host_of("HTTPS://u@Ex.Com:80/x") == "ex.com" and host_of(None) == host_of("nonsense") == ""
 
 
-def test_html_site_style_tree(spark):
+def test_html_rich_and_fresh_branches_overrule_their_names():
+    page = "<div class=widget><p>new</p></div><nav>n</nav>"
+    nodes, _ = blocks(page)
+    known = {n.style: (0.02, 0.9 if n.tag == "div" else 0.0) for n in nodes}
+    assert page_text(page, known) == "new"
+    assert page_text(page, {k: (0.9, p) for k, (_, p) in known.items()}) == ""
+    inside = "<article><p>own</p><p class=sign>The usual end</p></article>"
+    known = {n.style: (0.9 if k == 3 else 0.0, 0.1) for k, n in enumerate(blocks(inside)[0])}
+    assert page_text(inside, known) == "own"  # within an article, too
+
+
+def test_html_real_pages_come_through_the_tree(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    article = {r.page_id: page_text(re.search("<article>.*?</article>", r.html, re.S)[0], {}) for r in rows.collect()}
+    got = {r.page_id: r.text for r in extract_text(rows).collect()}
+    assert got == article
+    without = {r.page_id: page_text(r.html, {}) for r in rows.collect()}
+    assert all(without[i] != got[i] for i in got)
+
+
+@pytest.mark.parametrize("small", [200_000, 0])
+def test_html_site_style_tree(spark, monkeypatch, small):
+    monkeypatch.setattr(html_extract, "SMALL", small)
     page = lambda i: f"<body><div class=top>Welcome to our site<div>Call now</div></div><div class=text><p>{prose(i, 20)}</p>{'<p>more</p>' * (i % 3)}</div><div class=bottom>All the same</div></body>"
+    text = lambda i: "\n\n".join([prose(i, 20), *["more"] * (i % 3)])
     rows = [(i, "http://a.example/x", page(i)) for i in range(30)] + [(100, "http://b.example/", page(5)), (101, None, None), (102, "", ""), (100, "http://b.example/", page(5)), (None, "x", "<p>y")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", quality.F.lit("clash")).withColumn("host", quality.F.lit(1)).repartition(4)
     got = defaultdict(list)
@@ -186,12 +223,12 @@ def test_html_site_style_tree(spark):
         got[r.page_id].append(r.text)
     assert len(rows) == sum(map(len, got.values()))
     for i in range(30):
-        assert got[i] == ["\n\n".join([prose(i, 20), *["more"] * (i % 3)])]
-    assert got[100][0] == got[100][1] and got[100][0].startswith("Welcome to our site\n\nCall now")  # two equal pages tell nothing
+        assert got[i] == [text(i)]
+    assert got[100] == [text(5)] * 2  # two equal pages tell nothing, but all hosts' tree does
     assert got[101] == [""] and got[102] == [""] and got[None] == ["y"]
     assert extract_text(df.limit(0)).collect() == []
-    tree = style_tree(df).collect()
-    assert all(0 <= r.presentation <= 1.0001 for r in tree)
+    tree = entropies(feature_counts(df), "host", "style", "near").collect()
+    assert all(0 <= x <= 1.0001 for r in tree for x in (r.repetition, r.presentation))
 
 
 def test_kernel_hits_are_whole_text():
