@@ -22,8 +22,8 @@
    main text (a tag such as nav or footer; outside articles also a class, id or role) the bound is
    SLOPE * (presentation - HALF) or 0, so the statement settles a tie, and looks that vary like a
    text's overrule it. Of a style that the tree does not hold nothing is removed.
-   A page is never all noise: if no text is left and some stand outside stated branches, those
-   within articles stay, or else those.
+   A page is never all noise: if no text is left, of those outside stated branches those within
+   articles stay, if there are such, and of these those that are no noise by themselves.
 3. What remains is decoded; white space within a block becomes one space, and blocks are joined by
    an empty line.
 
@@ -94,7 +94,7 @@ def stated(names: str) -> bool:
 class Node:
     """side: 1 within an article or main element, -1 within a branch that states it is no main text, else 0, by the nearest of these. near: the style from there on."""
 
-    __slots__ = ("parent", "tag", "style", "near", "side", "below", "weight", "noise", "looks", "gone")
+    __slots__ = ("parent", "tag", "style", "near", "side", "below", "weight", "noise", "looks", "noisy", "gone")
 
     def __init__(self, parent: Node | None, tag: str, attributes: str) -> None:
         self.parent, self.tag = parent, tag
@@ -120,7 +120,7 @@ class Node:
         self.near = style_hash(0 if self.side != side else parent.near if parent else 0, label)
         self.below: list[str] = []
         self.weight = self.noise = self.looks = 0.0
-        self.gone = False
+        self.noisy = self.gone = False
 
 
 @lru_cache(maxsize=100_000)
@@ -280,12 +280,13 @@ def page_text(page: str, styles: dict[int, tuple[float, float]]) -> str:
         if n.weight and n.style in styles:
             stated = n.side < 0 and n.parent.side >= 0  # what is below a branch that stays is judged like other elements
             bound = SLOPE * max(n.looks - HALF, 0.0) if stated else BASE + SLOPE * n.looks + INSIDE * max(n.side, 0)
-            n.gone = n.noise / n.weight >= bound
-        n.gone = n.gone or n.parent is not None and n.parent.gone
+            n.noisy = n.noise / n.weight >= bound
+        n.gone = n.noisy or n.parent is not None and n.parent.gone
     left = [t for n, t in texts if not n.gone]
-    if not left and texts:
-        most = max(n.side for n, _ in texts)
-        left = [t for n, t in texts if n.side == most] if most >= 0 else []
+    if not left:
+        unstated = [(n, t) for n, t in texts if n.side >= 0]
+        most = max(((n.side, not n.noisy) for n, _ in unstated), default=None)
+        left = [t for n, t in unstated if (n.side, not n.noisy) == most]
     return "\n\n".join(left)
 
 
