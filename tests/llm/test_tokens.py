@@ -1,3 +1,4 @@
+import bisect
 import random
 import struct
 import zlib
@@ -8,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer as Library
 
 from lakemoor.llm.bpe import Automaton, Tokenizer, bpe_decode, bpe_encode, vocabulary
-from lakemoor.llm.packing import column_generation, knapsack, pack, plan, slots
+from lakemoor.llm.packing import best_fit, column_generation, knapsack, pack, pattern, plan, slots
 
 
 @pytest.fixture(scope="module")
@@ -86,23 +87,61 @@ def test_knapsack_and_column_generation():
     for _ in range(30):
         sizes = np.unique(rng.integers(1, 20, 6))
         prices = rng.random(len(sizes))
-        worth, counts = knapsack(sizes, prices, 40)
+        worth, took = knapsack(sizes, prices, 40)
         best = np.zeros(41)
         for c in range(1, 41):
             best[c] = max([best[c - 1], *(best[c - s] + p for s, p in zip(sizes, prices, strict=True) if s <= c)])
-        assert worth == pytest.approx(best[40]) and counts @ prices == pytest.approx(worth) and counts @ sizes <= 40
-        demand = rng.integers(1, 500, len(sizes)).astype(float)
-        used = column_generation(sizes, demand, 40)
-        assert sum(x * c for c, x in used) == pytest.approx(demand, abs=1e-4)
+        counts = pattern(took, sizes, 40)
+        assert worth == pytest.approx(best) and sum(prices[i] * c for i, c in counts.items()) == pytest.approx(best[40]) and sum(sizes[i] * c for i, c in counts.items()) <= 40
+        demand = rng.integers(1, 500, len(sizes))
+        used, bound = column_generation(sizes, demand, 40, [])
+        assert [sum(x * c.get(i, 0) for c, x in used) for i in range(len(sizes))] == pytest.approx(demand, abs=1e-4)
         total = sum(x for _, x in used)
-        assert total >= demand @ sizes / 40 - 1e-6
-        histogram = dict(zip(sizes.tolist(), demand.astype(int).tolist(), strict=True))
+        assert total >= bound - 1e-6 >= demand @ sizes / 40 - 1e-5 and total - bound <= 1
+        histogram = dict(zip(sizes.tolist(), demand.tolist(), strict=True))
         sequences = plan(histogram, 40)
-        assert all(sum(s * c for s, c in counts.items()) <= 40 for counts, _ in sequences)
+        assert all(sum(s * c for s, c in counts.items()) <= 40 for counts, _ in sequences.used)
         for s in histogram:
-            assert sum(counts.get(s, 0) * n for counts, n in sequences) == histogram[s]
-        assert sum(n for _, n in sequences) <= total + len(sizes) + 1
-    assert plan({}, 256) == [] and slots([]) == {}
+            assert sum(counts.get(s, 0) * n for counts, n in sequences.used) == histogram[s]
+        assert sequences.sequences <= sequences.value + len(sizes) + 1
+    assert plan({}, 256).used == [] and slots([]) == {}
+
+
+def best_fit_decreasing(pieces, capacity):
+    rooms, n = [], 0
+    for s in sorted(pieces, reverse=True):
+        i = bisect.bisect_left(rooms, s)
+        if i == len(rooms):
+            n += 1
+            room = capacity - s
+        else:
+            room = rooms.pop(i) - s
+        if room:
+            bisect.insort(rooms, room)
+    return n
+
+
+@pytest.mark.parametrize("kind", ["uniform", "exponential", "ones", "halves", "thirds", "one"])
+def test_plan_against_best_fit_decreasing_and_its_bound(kind):
+    rng = np.random.default_rng(7)
+    pieces = {
+        "uniform": rng.integers(1, 513, 20000),
+        "exponential": np.clip(rng.exponential(100, 20000).astype(int) + 1, 1, 512),
+        "ones": np.ones(5000, dtype=int),
+        "halves": rng.integers(150, 325, 10000),
+        "thirds": rng.integers(125, 225, 9000),
+        "one": np.array([512]),
+    }[kind]
+    sizes, demand = np.unique(pieces, return_counts=True)
+    found = plan(dict(zip(sizes.tolist(), demand.tolist(), strict=True)), 512)
+    assert Counter({s: n for s, n in zip(sizes.tolist(), demand.tolist(), strict=True)}) == sum((Counter({s: c * n for s, c in counts.items()}) for counts, n in found.used), Counter())
+    plain = best_fit_decreasing(pieces.tolist(), 512)
+    assert plain == sum(n for _, n in best_fit(sizes, demand, 512))
+    assert found.bound - 1e-6 <= found.sequences <= plain
+    if kind in ("halves", "thirds"):
+        assert found.sequences < 0.995 * plain  # patterns that decreasing order does not find
+    if kind != "thirds":
+        assert found.sequences <= 1.002 * found.bound + 1
 
 
 def test_packing(frame, odd_docs, library):
@@ -120,5 +159,7 @@ def test_packing(frame, odd_docs, library):
         assert r.offset == by.get(r.sequence_id, 0)
         by[r.sequence_id] = r.offset + r.length
     assert max(by.values()) <= 2048
-    assert len(by) <= 1.03 * sum(by.values()) / 2048 + 8
+    assert len(by) <= 1.01 * sum(by.values()) / 2048 + 1
+    empty = pack(frame([(i, None if i % 2 else "") for i in range(4100)])).collect()
+    assert len({r.sequence_id for r in empty}) == 3 and max(r.offset for r in empty) == 2047  # one id each
     assert pack(frame([])).collect() == []
