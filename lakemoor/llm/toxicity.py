@@ -1,13 +1,14 @@
 """Toxicity by weak supervision.
 
 1. Voters. Lexicon voters are words and word beginnings (4 and 5 bytes) that labelled training rows
-   set apart (counted distributedly over the sample), and fixed word lists; pattern voters look at
-   how a text is written. A voter votes "toxic" or stays silent.
+   set apart (counted distributedly over the sample), and a fixed word list for each language;
+   pattern voters look at how a text is written. A voter votes "toxic" or stays silent.
 2. The label model is generative: given the hidden label, voter j votes with a probability of its
    own. Expectation-maximisation estimates these, that is the voters' accuracies; the given label
-   takes part as one more, imperfect, voter. Correlations are estimated from what voters have in
-   common beyond the label: a voter's evidence is divided by one plus the sum of its correlations,
-   so near-copies of a voter do not count twice.
+   takes part as one more voter, whose errors both ways are estimated like the others' (from
+   ``TRUST``, with a prior of some rows). Correlations are estimated anew in every round from what
+   voters have in common beyond the present posterior: a voter's evidence is divided by one plus
+   the sum of its correlations, so near-copies of a voter do not count twice.
 3. A logistic classifier is trained on the posterior labels, over the presence of the selected
    words and beginnings and the patterns. It alone scores texts, whole, in one pass without shuffle.
 
@@ -43,7 +44,9 @@ LEXICON = {
     "fr": "idiot idiote imbécile crétin connard connasse salaud ordure pathétique dégoûtant abruti merde minable raclure débile haine",
     "es": "idiota estúpido imbécil tonto basura asqueroso patético escoria inútil cabrón mierda gilipollas payaso desgraciado odio",
 }
-PATTERNS = 4
+PATTERNS = 10
+#: The given label's accuracy to start from, and the rows that this prior weighs.
+TRUST, PRIOR_ROWS = 0.9, 20
 
 
 def held_out(id_col: str):
@@ -72,18 +75,24 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = np.maximum(np.diff(offs), 1)
     per = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[offs]) / size
     upper, bang = per((buf >= 65) & (buf <= 90)), per(buf == 33)
-    votes = np.stack([upper > 0.4, bang > 0.01, per((buf == 36) | (buf == 42) | (buf == 35)) > 0.02, (np.diff(first) < 30) & (np.diff(offs) > 0)], axis=1)
+    marks, digits, question, high = per((buf == 36) | (buf == 42) | (buf == 35)), per((buf >= 48) & (buf <= 57)), per(buf == 63), per(buf >= 128)
+    again = np.zeros(len(buf), dtype=bool)
+    again[2:] = (buf[2:] == buf[1:-1]) & (buf[1:-1] == buf[:-2]) & (buf[2:] > 32)  # three alike in a row, within a text or across two
+    words, some = np.diff(first), np.diff(offs) > 0
+    short, mean = (words < 30) & some, np.bincount(rows, weights=e - s, minlength=len(column)) / np.maximum(words, 1)
+    votes = np.stack([upper > 0.4, bang > 0.01, marks > 0.02, short, (upper > 0.15) & (upper <= 0.4), (bang > 0) & (bang <= 0.01), question > 0.01, per(again) > 0.01, (digits > 0.2) | (high > 0.5), (mean > 0) & (mean < 3.2)], axis=1)
     return np.concatenate(parts), np.concatenate(at), votes
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, rows: int, hold: bool) -> DataFrame:
-    """(id, text, label) of at most ``rows`` labelled rows; the label side of the join is bounded by ``rows``."""
+    """(id, text, label) of at most ``rows`` labelled ids, one row each (of repeated ids the least text); the label side of the join is bounded by ``rows``."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull())
     if hold:
         known = known.filter(~held_out(id_col))
     known = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(rows)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(known), "id")
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(known), "id")
+    return found.groupBy("id", "label").agg(F.min("text").alias("text"))
 
 
 def select_features(sample: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,29 +138,35 @@ def hits(column: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 class LabelModel:
     """Voters that are independent given the label, but for estimated correlations.
 
-    votes: (rows, voters) booleans; labels: 0 or 1, taken as a voter of the accuracy ``trust``.
+    votes: (rows, voters) booleans; labels: 0 or 1, the votes of one more voter, ``given`` (how often
+    it says 1 where that is so, and where not).
     """
 
-    def __init__(self, votes: np.ndarray, labels: np.ndarray, trust: float = 0.95, rounds: int = 25) -> None:
+    def __init__(self, votes: np.ndarray, labels: np.ndarray, trust: float = TRUST, rounds: int = 50, tolerance: float = 1e-4) -> None:
         v, n = votes.astype(np.float64), max(len(votes), 1)
-        given = np.where(labels == 1, np.log(trust / (1 - trust)), np.log((1 - trust) / trust))
-        post = sigmoid(given)
-        discount = np.ones(v.shape[1])
-        for k in range(rounds):
+        said = labels == 1
+        self.given = (trust, 1 - trust)
+        post = np.where(said, *self.given)
+        for _ in range(rounds):
             total = post.sum()
             self.prior = np.clip(total / n, 1e-3, 1 - 1e-3)
             self.on = np.clip((post @ v + 0.5) / (total + 1), 1e-4, 1 - 1e-4)
             self.off = np.clip(((1 - post) @ v + 0.5) / (n - total + 1), 1e-4, 1 - 1e-4)
-            if k == 2:
-                mean = np.outer(post, self.on) + np.outer(1 - post, self.off)
-                rest = (v - mean) / np.sqrt(np.maximum(mean * (1 - mean), 1e-6))
-                self.correlation = np.clip(rest.T @ rest / n, 0, 1)
-                np.fill_diagonal(self.correlation, 0)
-                discount = 1 / (1 + np.where(self.correlation > 0.1, self.correlation, 0).sum(axis=1))
+            self.given = ((post[said].sum() + PRIOR_ROWS * trust) / (total + PRIOR_ROWS), ((1 - post)[said].sum() + PRIOR_ROWS * (1 - trust)) / (n - total + PRIOR_ROWS))
+            mean = np.outer(post, self.on) + np.outer(1 - post, self.off)
+            rest = (v - mean) / np.sqrt(np.maximum(mean * (1 - mean), 1e-6))
+            self.correlation = np.clip(rest.T @ rest / n, 0, 1)
+            np.fill_diagonal(self.correlation, 0)
+            discount = 1 / (1 + np.where(self.correlation > 0.1, self.correlation, 0).sum(axis=1))
             self.evidence = discount * np.log(self.on * (1 - self.off) / (self.off * (1 - self.on)))
             silent = discount * np.log((1 - self.on) / (1 - self.off))
             self.offset = np.log(self.prior / (1 - self.prior)) + silent.sum()
-            post = sigmoid(v @ self.evidence + self.offset + given)
+            one, zero = np.clip(self.given, 1e-3, 1 - 1e-3)
+            new = sigmoid(v @ self.evidence + self.offset + np.where(said, np.log(one / zero), np.log((1 - one) / (1 - zero))))
+            moved = np.abs(new - post).max(initial=0.0)
+            post = new
+            if moved < tolerance:
+                break
         self.posterior = post
 
 
@@ -160,12 +175,15 @@ class ToxicityModel:
 
     def __init__(self, chosen: np.ndarray, weights: np.ndarray, extra: np.ndarray, intercept: float) -> None:
         self.chosen, self.weights, self.extra, self.intercept = chosen, weights, extra, intercept
-        self.lexicon = np.unique(np.concatenate([lexicon_hashes(t) for t in LEXICON.values()]))
+        lists = [lexicon_hashes(t) for t in LEXICON.values()]
+        self.lexicon = np.unique(np.concatenate(lists))
+        self.listed = np.stack([np.isin(self.lexicon, x) for x in lists], axis=1)  # (word, list)
 
     def design(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows, at, votes = hits(column, self.chosen)
-        lex_rows, _, _ = hits(column, self.lexicon)
-        listed = np.bincount(lex_rows, minlength=len(column)) > 0
+        lex_rows, words, _ = hits(column, self.lexicon)
+        listed = np.zeros((len(column), self.listed.shape[1]), dtype=bool)
+        np.logical_or.at(listed, lex_rows, self.listed[words])
         return rows, at, np.column_stack([votes, listed]).astype(np.float64)
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -177,7 +195,7 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample_rows: int = SAMPLE, hold: bool = True) -> ToxicityModel:
     sample = _sample(docs, labels, label, id_col, text_col, sample_rows, hold)
     chosen, z = select_features(sample, FEATURES)
-    model = ToxicityModel(chosen, np.zeros(len(chosen)), np.zeros(PATTERNS + 1), -35.0)
+    model = ToxicityModel(chosen, np.zeros(len(chosen)), np.zeros(PATTERNS + len(LEXICON)), -35.0)
     if not len(chosen):
         return model
 
@@ -195,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     x = np.zeros((len(y), len(chosen)), dtype=np.float32)
     lengths = np.diff(lists.offsets.to_numpy())
     x[np.repeat(np.arange(len(y)), lengths), lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()]] = 1
-    extra = np.array(got.column("extra").to_pylist(), dtype=np.float32).reshape(len(y), PATTERNS + 1)
+    extra = np.array(got.column("extra").to_pylist(), dtype=np.float32).reshape(len(y), PATTERNS + len(LEXICON))
     voters = np.argsort(-z, kind="stable")[:VOTERS]
     posterior = LabelModel(np.column_stack([x[:, voters], extra]) > 0, y).posterior
     keep = x.sum(axis=0) > 0

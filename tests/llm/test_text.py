@@ -10,7 +10,7 @@ from llm_data import prose
 from lakemoor.llm import html_extract, quality, toxicity
 from lakemoor.llm.html_extract import blocks, entropies, extract_text, feature_counts, host_of, page_text
 from lakemoor.llm.licenses import ANCHORS, BASE, rules, scan_licenses
-from lakemoor.llm.linear import cumulative_link, sigmoid
+from lakemoor.llm.linear import cumulative_link, logistic, minimise, sigmoid
 
 
 def expected(text):
@@ -144,10 +144,22 @@ def test_cumulative_link_recovers_grades():
     z = x @ np.array([1.5, -1, 0.5, 0, 0, 2])
     theta = np.array([-1.5, 0.0, 2.0])
     y = (rng.random(4000)[:, None] > sigmoid(theta[None, :] - z[:, None])).sum(axis=1)
-    w, t = cumulative_link(x, y, 4, 0.0, steps=800)
+    w, t = cumulative_link(x, y, 4, 0.0)
     assert w == pytest.approx([1.5, -1, 0.5, 0, 0, 2], abs=0.25) and t == pytest.approx(theta, abs=0.25)
 
 
+def test_fits_reach_their_minimum():
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((500, 30)).astype(np.float32)
+    y = (x[:, 0] + 0.3 * rng.standard_normal(500) > 0).astype(np.float32)
+    p = logistic(x, y, 1e-3)
+    error = sigmoid(x @ p[:-1] + p[-1]) - y
+    assert np.abs(x.T @ error / 500 + 1e-3 * p[:-1]).max() < 1e-4 and abs(error.mean()) < 1e-4
+    assert minimise(lambda z: ((z - 3) @ (z - 3) * 50, 100 * (z - 3)), np.zeros(4)) == pytest.approx([3] * 4)
+    with pytest.raises(RuntimeError, match="converged"):
+        minimise(lambda z: ((z - 3) @ (z - 3) * 50, 100 * (z - 3)), np.zeros(4), most=0)
+
+
 def test_quality(spark, frame, odd_docs):
     rows, ratings = labelled(spark, 500, lambda i: "$$$ ### " * 30, "quality")
     ratings = ratings.withColumn("quality", 1 - quality.F.col("quality"))
