@@ -14,14 +14,18 @@ holds a third of all turns is thus cut into many pieces, and no task gets more t
 
 The rendering of a turn closes the turn before, opens its own (after inserted ones) and holds its
 whole text; the last one closes the conversation. Concatenated by ``place`` they are the dialogue.
+A text cannot open or close turns: in a marker of its own a backslash stands after ``<`` (one more
+where some stand already), so :func:`unescaped` gives the text back.
 
 Defined cases: a null conv_id is one conversation; null turns come first; equal turns are ordered by
-role and text; null text counts as empty; roles are compared in lower case without outer blanks;
+a hash of role and text, so that long texts are no sort keys; null text counts as empty; roles are compared in lower case without outer blanks;
 repeated rows are turns of their own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -116,6 +120,17 @@ def opened(role: int) -> str:
 CLOSE = "<|im_end|>\n"
 
 
+MARKER = re.compile(r"<(\\*)\|im_(start|end)\|>")
+
+
+def escaped(text: str) -> str:
+    return MARKER.sub(r"<\1\\|im_\2|>", text) if "|im_" in text else text
+
+
+def unescaped(text: str) -> str:
+    return re.sub(r"<(\\*)\\\|im_(start|end)\|>", r"<\1|im_\2|>", text)
+
+
 def rendered(text: str, before: int, state: int, action: int, inserted: int, last: bool) -> str:
     if ACTIONS[action].startswith("merge"):
         out = f"\n\n{text}"
@@ -184,7 +199,7 @@ def _repaired(batches):
         out = []
         steps = repair([role_code(r[3]) for r in rows], state, last)
         for i, (r, (after, action, inserted)) in enumerate(zip(rows, steps, strict=True)):
-            text = rendered(r[4] or "", state, after, action, inserted, final and i == len(rows) - 1)
+            text = rendered(escaped(r[4] or ""), state, after, action, inserted, final and i == len(rows) - 1)
             out.append((None if none else conv, r[2], r[3], ROLES[after], ACTIONS[action], text, pid << 40 | r[6]))
             state = after
         for k in range(0, len(out), 2000):
@@ -205,8 +220,8 @@ def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     """Per turn: conv_id, turn, role, new_role, action, rendered, place (the order within the conversation)."""
     conv = F.col(conv_col).cast("long")
     rows = df.select(conv.isNull().alias("none"), F.coalesce(conv, F.lit(0)).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
-    order = ["none", "conv", "turn", "role", "text", "tie"]
-    ranged = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(shuffle_partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    order = ["none", "conv", "turn", "content", "tie"]
+    ranged = rows.withColumns({"content": F.xxhash64("role", "text"), "tie": F.monotonically_increasing_id()}).repartitionByRange(shuffle_partitions(df.sparkSession), *order).sortWithinPartitions(*order)
     ranged = ranged.select(*NAMES[:5], F.spark_partition_id().alias("pid"))
     placed = materialise(map_arrow(ranged, _pieces, ROW), "turns")
     pieces = placed.filter("pos < 0").groupBy("none", "conv").agg(F.collect_list(F.struct("pid", "matrix")).alias("pieces"))

@@ -7,7 +7,9 @@ Texts are equal when identical after each run of ``[\\x20\\x09-\\x0D]`` becomes
 2. The remaining rows are dealt out by content hash. A task streams its rows into the same kind of
    table; when the distinct contents outgrow the memory budget, table and rest go to spill files,
    one per hash bucket, and each bucket is treated alike, recursively, with the next hash bits.
-   Copies never enlarge the table, so a hot group cannot defeat the recursion.
+   Of a class the table keeps a short entry for each input partition that holds it, or, where only
+   the rows that stay are asked for, the best row alone. Rows that only wait for their verdict pass
+   by through a file.
 3. The verdict on a class returns to its rows under the key (partition, epoch, content), which
    holds no more rows than an input partition does, whatever the size of the group.
 
@@ -84,11 +86,17 @@ class OpenTable:
             self.slots[at] = i
 
 
-def grace(records: Iterator[tuple[int, bytes, tuple]], folder: str, budget: int = BUDGET, level: int = 0) -> Iterator[tuple[bytes, list[tuple]]]:
-    """Classes of equal content: (content, metas). records: (hash, content, meta)."""
+def grace(records: Iterator[tuple[int, bytes, tuple]], folder: str, budget: int = BUDGET, level: int = 0, best=None, size=lambda meta: 150) -> Iterator[tuple[bytes, list[tuple]]]:
+    """Classes of equal content: (content, metas). records: (hash, content, meta); best: of two metas the one to keep, instead of all; size: bytes of a meta."""
     table = OpenTable()
     for h, content, meta in records:
-        table.values[table.find(h, content)].append(meta)
+        metas = table.values[table.find(h, content)]
+        if best and metas:
+            table.bytes -= size(metas[0])
+            metas[0] = best(metas[0], meta)
+        else:
+            metas.append(meta)
+        table.bytes += size(metas[-1])
         if table.bytes > budget and len(table.contents) > 1 and level < 16:
             break
     else:
@@ -107,7 +115,7 @@ def grace(records: Iterator[tuple[int, bytes, tuple]], folder: str, budget: int
         for f in files:
             f.close()
     for p in paths:
-        yield from grace(_spilled(p), folder, budget, level + 1)
+        yield from grace(_spilled(p), folder, budget, level + 1, best, size)
         os.remove(p)
 
 
@@ -191,9 +199,7 @@ def _merge(text_at: str | None, budget: int, out_type: pa.DataType | None):
     """Stage 2. text_at: place of the text in a payload row; out_type: give the rows that stay instead of classes."""
 
     def run(batches):
-        through: list[pa.RecordBatch] = []
-
-        def records():
+        def records(pass_by):
             for batch in batches:
                 cols = batch.to_pydict()
                 short = []
@@ -205,26 +211,33 @@ def _merge(text_at: str | None, budget: int, out_type: pa.DataType | None):
                     else:
                         yield int.from_bytes(sha[:8], "little"), _text_of(payload, text_at), (pid, epoch, doc_id, n, sha, payload)
                 if short:
-                    through.append(_rows(short, CLASSES))
+                    pass_by.write_batch(_rows(short, CLASSES))
 
+        rank = lambda m: (_order(m[2]), m[0], m[1])
+        alone = None if out_type is None else lambda a, b: min(a, b, key=rank)
         with tempfile.TemporaryDirectory() as folder:
             out: list = []
-            for _, metas in grace(records(), folder, budget):
-                best = min(metas, key=lambda m: (_order(m[2]), m[0], m[1]))
-                if out_type is not None:
-                    out.append(pickle.loads(best[5]))
-                else:
-                    size = sum(m[3] for m in metas)
-                    out.extend((_member_key(m[4], m[0], m[1]), m[0], m[1], m[4], m[2], True, best[2], size, m is best) for m in metas)
-                if through:
-                    yield from through
-                    through.clear()
-                if len(out) >= 1000:
-                    yield _rows(out, CLASSES) if out_type is None else _payloads(out, out_type)
-                    out = []
-            yield from through
+            waiting = os.path.join(folder, "waiting")
+            with pa.OSFile(waiting, "wb") as sink, pa.ipc.new_stream(sink, CLASSES) as pass_by:
+                for _, metas in grace(records(pass_by), folder, budget, best=alone, size=lambda m: 150 + len(m[5] or b"")):
+                    first = min(metas, key=rank)
+                    if out_type is not None:
+                        out.append(pickle.loads(first[5]))
+                    else:
+                        size = sum(m[3] for m in metas)
+                        for m in metas:
+                            out.append((_member_key(m[4], m[0], m[1]), m[0], m[1], m[4], m[2], True, first[2], size, m is first))
+                            if len(out) >= 1000:
+                                yield _rows(out, CLASSES)
+                                out = []
+                    if len(out) >= 1000:
+                        yield _rows(out, CLASSES) if out_type is None else _payloads(out, out_type)
+                        out = []
             if out:
                 yield _rows(out, CLASSES) if out_type is None else _payloads(out, out_type)
+            if out_type is None:
+                with pa.OSFile(waiting, "rb") as source:
+                    yield from pa.ipc.open_stream(source)
 
     return run
 

@@ -51,6 +51,18 @@ def test_grace_spills_and_survives_equal_hashes(tmp_path):
         assert not list(tmp_path.iterdir())
 
 
+def test_grace_keeps_the_best_row_of_a_hot_class(tmp_path):
+    held = []
+
+    def records():
+        for i in range(5000):
+            held.append(sum(len(p.read_bytes()) for p in tmp_path.iterdir()))
+            yield 7, b"hot", (i * 7919 % 5000, b"x" * 1000)
+
+    assert [m for _, m in grace(records(), str(tmp_path), budget=50_000, best=min, size=lambda m: len(m[1]))] == [[(0, b"x" * 1000)]]
+    assert not any(held)  # nothing is spilled, as one row alone is kept
+
+
 def test_empty_tables(frame):
     for f in (exact_dedup, keep_first, near_dedup, keep_one):
         assert f(frame([])).collect() == []
