@@ -5,8 +5,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lakemoor.llm import chat
-from lakemoor.llm.ann import Forest, directions, nearest
+from lakemoor.llm import ann, chat
+from lakemoor.llm.ann import Forest, Leaves, depths, directions, distinct, efforts, nearest
 
 
 def brute_nearest(ids, vectors, k=10):
@@ -20,25 +20,44 @@ def brute_nearest(ids, vectors, k=10):
     return out
 
 
-def test_recall_and_exact_scores(spark):
+@pytest.mark.parametrize(("clusters", "spread", "most"), [(8, 0.5, 1.0), (200, 0.05, 0.2)])
+def test_recall_and_exact_scores(spark, monkeypatch, clusters, spread, most):
+    monkeypatch.setattr(ann, "SHARD", 1500)
     rng = np.random.default_rng(6)
-    centres = rng.standard_normal((8, 32))
-    vectors = (centres[rng.integers(0, 8, 6000)] + 0.5 * rng.standard_normal((6000, 32))).astype(np.float32).astype(np.float64)
+    centres = rng.standard_normal((clusters, 32))
+    vectors = (centres[rng.integers(0, clusters, 6000)] + spread * rng.standard_normal((6000, 32))).astype(np.float32).astype(np.float64)
     df = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, rank string").repartition(6)
-    got = defaultdict(list)
+    got, looked = defaultdict(list), {}
     for r in nearest(df).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
+        looked[r.query_id] = r.looked
         assert r.rank == len(got[r.query_id])
     want = brute_nearest(np.arange(6000), vectors)
     assert got.keys() == want.keys() and all(len(v) == 10 for v in got.values())
     hits = sum(len({a for a, _ in got[q]} & {a for a, _ in want[q]}) for q in want)
     assert hits / (10 * len(want)) >= 0.9
+    assert np.mean(list(looked.values())) <= most * 6000
     for q, found in got.items():
         assert [s for _, s in found] == sorted(s for _, s in found)
         for i, s in found:
             assert s == pytest.approx(float(np.sqrt(((vectors[i] - vectors[q]) ** 2).sum())), rel=1e-12)
 
 
+def test_hot_vector(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD", 200)
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((3000, 8))
+    vectors[rng.permutation(3000)[:1500]] = vectors[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    want = brute_nearest(np.arange(3000), vectors)
+    got = defaultdict(list)
+    for r in nearest(df).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    hot = [q for q in want if (vectors[q] == vectors[0]).all()]
+    assert hot and all(got[q] == [i for i, _ in want[q]] for q in hot)
+    assert sum(len(set(got[q]) & {i for i, _ in want[q]}) for q in want) >= 0.9 * 10 * len(want)
+
+
 def test_odd_vectors(spark):
     good = [(i, [float(i % 7), 1.0, float(i)]) for i in range(0, 30)]
     same = [(1000 + i, [5.0, 5.0, 5.0]) for i in range(40)] + [(100, [5.0, 5.0, 5.0])] * 2
@@ -51,16 +70,34 @@ def test_odd_vectors(spark):
     assert [(r.query_id, r.rank) for r in sorted(few, key=lambda r: r.rank)] == [(0, 1), (0, 2)]
 
 
-def test_forest_ascends_to_everything():
+def test_forest_takes_in_what_its_effort_says():
     rng = np.random.default_rng(1)
     v = rng.standard_normal((500, 8))
     dirs, turn = directions(v)
     f = Forest(np.arange(500), v, dirs, turn)
-    assert all(len(p) == 500 for p in f.search(v[:5], 10**9))
+    trees, bits = turn.shape
+    assert all(len(p) == 500 for p in f.search(v[:5], 0, 10**9))
+    assert depths(0, 3, 48) == [48] * 3 and depths(3, 3, 48) == [47, 48, 48] and depths(4, 3, 48) == [47, 47, 48] and depths(10**6, 3, 48) == [0] * 3
     codes = f.codes(v)
-    for p, q in zip(f.search(v[:20], 30), range(20), strict=True):
-        depths = [max(d for d in range(49) if ((codes[t, x] ^ codes[t, q]) >> np.uint64(48 - d)) == 0) for x in p for t in [int(np.argmin(codes[:, x] ^ codes[:, q]))]]
-        assert q in p and len(p) >= 30 / 16 and min(depths) >= 0
+    for effort in (0, 700, 715, 730, bits * trees):
+        for q, places in enumerate(f.search(v[:20], effort, 1)):
+            meet = efforts(codes, np.repeat(codes[:, q : q + 1], 500, axis=1), bits)
+            assert q in places and set(np.flatnonzero(meet <= effort)) == set(places.tolist())
+
+
+def test_leaves_cover_every_vector():
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((800, 8))
+    dirs, turn = directions(v)
+    leaves = Leaves(v, dirs, turn, 800 * 50)
+    cost = leaves.costs(rng.standard_normal((300, 8)))
+    assert len(leaves.prefixes) > 3 and ((cost == 0).sum(axis=1) == 1).all()
+
+
+def test_distinct_keeps_the_smallest_ids():
+    ids = np.array([9, 3, 7, 1, 5, 8])
+    vectors = np.array([[0.0, 1], [0, 1], [2, 2], [-0.0, 1], [0, 1], [2, 2]])
+    assert distinct(ids, vectors, 1).tolist() == [1, 2, 3, 5]
 
 
 def price(action, role, new):
