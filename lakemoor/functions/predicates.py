@@ -28,35 +28,155 @@ def list_get(c: Column, i: int) -> Column:
     return c[i] if i >= 0 else F.element_at(c, i)
 
 
+#: POSIX classes (of ASCII), and Unicode scripts and properties that Java calls Is...
+POSIX = {
+    "alnum": "0-9A-Za-z", "alpha": "A-Za-z", "ascii": r"\x00-\x7F", "blank": r"\t ", "cntrl": r"\x00-\x1F\x7F", "digit": "0-9", "graph": "!-~", "lower": "a-z",
+    "print": " -~", "punct": r"!-/:-@\[-`{-~", "space": r"\t\n\x0B\f\r ", "upper": "A-Z", "word": "0-9A-Za-z_", "xdigit": "0-9A-Fa-f",
+}
+PROPERTIES = frozenset("Alphabetic Arabic Armenian Bengali Cyrillic Devanagari Ethiopic Georgian Greek Han Hangul Hebrew Hiragana Katakana Khmer Lao Latin Lowercase Tamil Telugu Thai Tibetan Uppercase White_Space".split())
+_CODE = re.compile(r"x\{([0-9A-Fa-f]+)\}|x([0-9A-Fa-f]{2})|u\{([0-9A-Fa-f]+)\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})")
+_PROPERTY = re.compile(r"([pP])(?:\{(\^?)(\w+)\}|([A-Z]))")
+_GROUP = re.compile(r"\(\?(?:P?<[A-Za-z_]\w*>|([a-zA-Z]*)(?:-([a-zA-Z]+))?([:)]))")
+_QUANTIFIER = re.compile(r"(?:[*+?]|\{\d+(?:,\d*)?\})(\??)")
+
+
 def java_pattern(pattern: str) -> str:
     r"""A linear-time regular expression in Java's dialect: ``$`` is the very end, ``\w``, ``\d``, ``\s`` and ``\b`` are Unicode's, ``.`` stops at ``\n`` only.
 
-    ValueError for look-around and back-references, which linear-time engines lack.
+    POSIX classes, ``--`` and ``&&`` within classes, ``(?m)`` and other inner flags, named groups and
+    code points are translated. ValueError for what linear-time engines lack (look-around,
+    back-references, atomic groups) and for what Java would take for something else (``++``, ``~~``,
+    the flags x, R, U and -u, escapes unknown to one of them).
     """
-    out, i, in_class = [], 0, 0
-    multiline = bool(re.match(r"\(\?[a-zA-Z]*m", pattern))
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "\\" and i + 1 < len(pattern):
-            n = pattern[i + 1]
-            if not in_class and (n.isdigit() and n != "0" or n == "k"):
-                raise ValueError(f"back-references are not supported: {pattern!r}")
-            out.append(r"\z" if n == "z" else c + n)
-            i += 2
-            continue
-        if not in_class and pattern.startswith("(?", i) and re.match(r"\(\?(?:[=!]|<[=!])", pattern[i:]):
-            raise ValueError(f"look-around is not supported: {pattern!r}")
-        if pattern.startswith("(?P<", i) and not in_class:
-            out.append("(?<")
-            i += 4
-            continue
-        if c == "[":
-            in_class += 1
-        elif c == "]" and in_class:
-            in_class -= 1
-        out.append(r"\z" if c == "$" and not in_class and not multiline else c)
-        i += 1
-    return "(?dU)" + "".join(out)
+    return "(?dU)" + _Pattern(pattern).translated()
+
+
+class _Pattern:
+    def __init__(self, text: str) -> None:
+        self.text, self.at, self.multiline = text, 0, [False]
+
+    def refuse(self, what: str) -> ValueError:
+        return ValueError(f"{what} is not supported: {self.text!r}")
+
+    def translated(self) -> str:
+        out = []
+        while self.at < len(self.text):
+            c = self.text[self.at]
+            quantifier = _QUANTIFIER.match(self.text, self.at)
+            if c == "\\":
+                out.append(self.escape(False))
+            elif c == "[":
+                out.append(self.bracket())
+            elif c == "(":
+                out.append(self.group())
+            elif c == ")":
+                if len(self.multiline) == 1:
+                    raise self.refuse("an unopened group")
+                self.multiline.pop()
+                out.append(self.take(1))
+            elif c == "^":
+                self.take(1)
+                out.append(r"(?:\A|(?<=\n))" if self.multiline[-1] else r"\A")
+            elif c == "$":
+                self.take(1)
+                out.append(r"(?=\n|\z)" if self.multiline[-1] else r"\z")
+            elif quantifier:
+                out.append(self.take(len(quantifier[0])))
+                if _QUANTIFIER.match(self.text, self.at):
+                    raise self.refuse("a quantifier of a quantifier")
+            elif c in "{}]":
+                out.append("\\" + self.take(1))
+            else:
+                out.append(self.take(1))
+        if len(self.multiline) > 1:
+            raise self.refuse("an unclosed group")
+        return "".join(out)
+
+    def take(self, n: int) -> str:
+        self.at += n
+        return self.text[self.at - n : self.at]
+
+    def group(self) -> str:
+        if not self.text.startswith("(?", self.at):
+            self.multiline.append(self.multiline[-1])
+            return self.take(1)
+        m = _GROUP.match(self.text, self.at)
+        if not m:
+            raise self.refuse("look-around or another special group")
+        self.at = m.end()
+        if m[3] is None:  # a name is of no use to a condition
+            self.multiline.append(self.multiline[-1])
+            return "("
+        on, off = set(m[1]), set(m[2] or "")
+        if bad := (on - set("imsu") | off - set("ims")):
+            raise self.refuse(f"the flag {min(bad)}")
+        multiline = "m" in on or self.multiline[-1] and "m" not in off
+        if m[3] == ":":
+            self.multiline.append(multiline)
+        else:
+            self.multiline[-1] = multiline
+        keep = "".join(sorted(on & set("is"))) + ("-" + "".join(sorted(off & set("is"))) if off & set("is") else "")
+        return f"(?{keep}{m[3]}" if keep or m[3] == ":" else ""
+
+    def escape(self, in_class: bool) -> str:
+        rest = self.text[self.at + 1 :]
+        if not rest:
+            raise self.refuse("a lone backslash")
+        if m := _CODE.match(rest):
+            self.take(1 + m.end())
+            return rf"\x{{{next(g for g in m.groups() if g)}}}"
+        if m := _PROPERTY.match(rest):
+            self.take(1 + m.end())
+            name = m[3] or m[4]
+            if len(name) > 2 and name not in PROPERTIES:
+                raise self.refuse(f"the property {name}")
+            inverse = (m[1] == "P") != bool(m[2])
+            return rf"\{'P' if inverse else 'p'}{{{name if len(name) < 3 else 'Is' + name}}}"
+        c = rest[0]
+        if c.isdigit() or c == "k":
+            raise self.refuse("a back-reference")
+        if c.isalpha() and (c not in "dDwWsSnrtfva" if in_class else c not in "dDwWsSbBAznrtfva") or ord(c) > 127 or rest.startswith("b{") or c in "<>":
+            raise self.refuse(f"the escape \\{c}")
+        self.take(2)
+        return {"v": r"\x0B", "a": r"\x07"}.get(c, "\\" + c)
+
+    def bracket(self) -> str:
+        """A class: unions of items, of which further ones are taken away or intersected with."""
+        self.take(1)
+        negated = self.text.startswith("^", self.at)
+        self.at += negated
+        operands, items, joined = [], [], "&&"
+        first = True
+        while True:
+            rest = self.text[self.at :]
+            if not rest:
+                raise self.refuse("an unclosed class")
+            if rest[0] == "]" and not first:
+                self.take(1)
+                break
+            if rest[:2] in ("&&", "--", "~~") and not (rest[:2] == "--" and first):
+                if rest[:2] == "~~":
+                    raise self.refuse("~~ in a class")
+                operands.append((joined, items))
+                items, joined = [], self.take(2)
+            elif m := re.match(r"\[:(\^?)(\w+):\]", rest):
+                if m[2] not in POSIX:
+                    raise self.refuse(f"the class {m[0]}")
+                self.take(m.end())
+                items.append(f"[{m[1]}{POSIX[m[2]]}]")
+            elif rest[0] == "[":
+                items.append(self.bracket())
+            elif rest[0] == "\\":
+                items.append(self.escape(True))
+            else:
+                c = self.take(1)
+                items.append("\\" + c if c in "]&#^ " or c == "-" and (first or self.text[self.at : self.at + 1] == "]") else c)
+            first = False
+        operands.append((joined, items))
+        if any(not x for _, x in operands):
+            raise self.refuse("an empty class")
+        inner = "&&".join(f"[{'^' if how == '--' else ''}{''.join(x)}]" for how, x in operands)
+        return f"[^[{inner}]]" if negated and len(operands) > 1 else f"[^{''.join(operands[0][1])}]" if negated else f"[{inner}]" if len(operands) > 1 else f"[{''.join(operands[0][1])}]"
 
 
 def contains_regex(c: Column, pattern: str, literal: bool = False) -> Column:
@@ -111,8 +231,8 @@ def ne_missing(a: Column, b: Any) -> Column:
 
 
 def is_finite(c: Column) -> Column:
-    """Neither NaN nor infinite; null for null."""
-    return ~F.isnan(c) & (F.abs(c) < float("inf")) & c.isNotNull() | F.when(c.isNull(), F.lit(None).cast("boolean"))
+    """Neither NaN nor infinite; null for null only."""
+    return F.when(c.isNotNull(), ~F.isnan(c) & (F.abs(c) < float("inf")))
 
 
 def field(c: Column, *names: str) -> Column:

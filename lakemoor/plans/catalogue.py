@@ -8,15 +8,18 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemoor.functions import predicates as P
 from lakemoor.operators.compaction import compact
 from lakemoor.plans.pushdown import explain_pushdown
-from lakemoor.session import scratch
-from lakemoor.sources.scan import scan_dataset
+from lakemoor.session import resolve_uri, scratch
+from lakemoor.sources.manifest import Manifest, Store
+from lakemoor.sources.scan import pull, scan_dataset
 from lakemoor.sources.write import sink_dataset, write_dataset
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +158,12 @@ where("float_zero", "events", lambda: C("f") == 0.0, "f = 0.0")
 where("float_neg_zero", "events", lambda: C("f") == F.lit(-0.0), "f = -0.0")
 where("float_inf", "events", lambda: C("f") >= float("inf"), "f >= 'inf'::DOUBLE")
 where("float_is_finite", "events", lambda: P.is_finite(C("f")), "isfinite(f)")
+where("float_is_not_finite", "events", lambda: ~P.is_finite(C("f")), "NOT isfinite(f)")
+# Expressions whose dialects differ.
+where("str_contains_regex_posix", "part", lambda: P.contains_regex(C("p_name"), "^[[:lower:]]+ [^[:upper:][:digit:]]+$"), "regexp_matches(p_name, '^[[:lower:]]+ [^[:upper:][:digit:]]+$')")
+where("str_contains_regex_flags", "part", lambda: P.contains_regex(C("p_name"), "(?:(?i)RED)|(?m)ring$"), "regexp_matches(p_name, '(?:(?i)RED)|(?m)ring$')")
+# Literals with a zone.
+where("filter_timestamp_zoned", "orders", lambda: C("o_orderdate").cast("timestamp") > F.lit(dt.datetime(1998, 1, 1, 2, tzinfo=dt.timezone(dt.timedelta(hours=2)))), "o_orderdate > timestamp '1998-01-01 00:00:00'")
 # Operands that stay above the scan.
 where("col_vs_col", "lineitem", lambda: C("l_partkey") > C("l_orderkey"), "l_partkey > l_orderkey")
 where("computed_operand", "lineitem", lambda: C("l_suppkey") > C("l_linenumber") + 90, "l_suppkey > l_linenumber + 90")
@@ -327,6 +336,140 @@ def pushdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(", ".join(r.pushed), r.read_schema) for r in reports], "pushed string, read_schema string")
 
 
+@query("head_bare", "SELECT 10 AS n, true AS known")
+def head_bare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limit without an order: which rows is open, how many and that they are the table's is not."""
+    got = scan(spark, sf_dir, "orders").select("o_orderkey").limit(10)
+    known = got.join(scan(spark, sf_dir, "orders").select("o_orderkey").distinct(), "o_orderkey", "left_semi")
+    return got.agg(F.count("*").cast("int").alias("n")).crossJoin(F.broadcast(known.agg((F.count("*") == 10).alias("known"))))
+
+
+@query("pull_batches", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey < 700")
+def pull_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows as a caller pulls them: Arrow batches of a given size at most."""
+    batches = list(pull(scan(spark, sf_dir, "orders").filter("o_custkey < 700").select("o_orderkey", "o_custkey"), batch_size=500))
+    if max(b.num_rows for b in batches) > 500:
+        raise AssertionError("a batch is too large")
+    return spark.createDataFrame(pa.Table.from_batches(batches))
+
+
+@query("dotted_and_spaced_names", "SELECT n_nationkey AS \"a key\", n_name AS \"b-c\" FROM nation WHERE n_nationkey > 3")
+def dotted_and_spaced_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = scan(spark, sf_dir, "nation").select(C("n_nationkey").alias("a key"), C("n_name").alias("b-c"))
+    return scan_dataset(spark, _written(df, "names")).filter(C("`a key`") > 3)
+
+
+@query("path_or_text", f"{REGION_SQL} UNION ALL {REGION_SQL}")
+def path_or_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _written(scan(spark, sf_dir, "region"), "path")
+    return scan_dataset(spark, path).unionByName(scan_dataset(spark, path.rstrip("/") + "/"))
+
+
+@query("max_bytes_per_file", "SELECT true AS several, true AS within, count(*) AS n FROM documents")
+def max_bytes_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A soft limit: several files, each of at most twice the limit, and no row lost."""
+    df = scan(spark, sf_dir, "documents").select("doc_id", "text").coalesce(1)
+    whole = _written(df, "bytes")
+    size = scan_dataset(spark, whole).agg(F.max("_metadata.file_size")).first()[0]
+    path = _written(df, "bytes", max_bytes_per_file=size // 4)
+    files = scan_dataset(spark, path).groupBy(C("_metadata.file_path").alias("file")).agg(F.max("_metadata.file_size").alias("size"), F.count("*").alias("n"))
+    return files.agg((F.count("*") > 1).alias("several"), (F.max("size") <= size // 2).alias("within"), F.sum("n").alias("n"))
+
+
+def _outcome(act: Callable[[], object]) -> str:
+    try:
+        act()
+    except Exception as e:  # noqa: BLE001 (the kind of error is what is asked for)
+        return type(e).__name__
+    return "none"
+
+
+def _outcomes(spark: SparkSession, acts: dict[str, Callable[[], object]]) -> DataFrame:
+    return spark.createDataFrame([(name, _outcome(act)) for name, act in acts.items()], "case string, raised string")
+
+
+def _expected(**raised: str) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in raised.items()) + ') AS t("case", raised)'
+
+
+@query("errors_of_writes", _expected(exists="FileExistsError", mode="ValueError", version="ValueError", blob_version="ValueError", blob_name="ValueError", blob_type="ValueError", name="ValueError", limit="ValueError", chunk="ValueError", schema="ValueError", option="ValueError", stale="CommitConflictError", ignored_version="none"))
+def errors_of_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = scan(spark, sf_dir, "region")
+    path = _written(df, "errors")
+    new = lambda **how: write_dataset(df, scratch(spark, "errors"), **how)
+    return _outcomes(
+        spark,
+        {
+            "exists": lambda: write_dataset(df, path),
+            "mode": lambda: new(mode="ignore"),
+            "version": lambda: new(data_storage_version="9.9"),
+            "blob_version": lambda: new(data_storage_version="2.1", blob_columns=["r_name"]),
+            "blob_name": lambda: new(blob_columns=["nope"]),
+            "blob_type": lambda: new(blob_columns=["r_name"]),
+            "name": lambda: write_dataset(df.withColumnRenamed("r_name", "r.name"), scratch(spark, "errors")),
+            "limit": lambda: new(max_rows_per_file=0),
+            "chunk": lambda: sink_dataset(df, scratch(spark, "errors"), chunk_size=0),
+            "schema": lambda: write_dataset(df.select("r_name"), path, mode="append"),
+            "option": lambda: new(storage_options={"nope": "1"}),
+            "stale": lambda: write_dataset(df, path, mode="overwrite", expected_version=7),
+            "ignored_version": lambda: write_dataset(df, path, mode="append", data_storage_version="2.0"),
+        },
+    )
+
+
+@query("errors_of_scans", _expected(missing="FileNotFoundError", version="FileNotFoundError", corrupt="EngineError", failing_query="EngineError", nothing_committed="FileNotFoundError", host="AnalysisException"))
+def errors_of_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = scan(spark, sf_dir, "region")
+    path, corrupt, failed = _written(df, "errors"), _written(df, "errors"), scratch(spark, "errors")
+    store = Store(spark, corrupt)
+    store._write(store.fs.create(store.path("_manifests", "2.json"), False), bytearray(b"{"))
+    broken = df.select(F.udf(lambda v: 1 // 0, "long")("r_regionkey").alias("r"))
+    return _outcomes(
+        spark,
+        {
+            "missing": lambda: scan_dataset(spark, scratch(spark, "errors")),
+            "version": lambda: scan_dataset(spark, path, version=5),
+            "corrupt": lambda: scan_dataset(spark, corrupt),
+            "failing_query": lambda: sink_dataset(broken, failed),
+            "nothing_committed": lambda: scan_dataset(spark, failed),
+            "host": lambda: scan_dataset(spark, path).select("nope"),
+        },
+    )
+
+
+@query("commit_conflict", "SELECT 1 AS won, 3 AS lost, 2 AS versions")
+def commit_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four writers that all build on version 1: one commits."""
+    path = _written(scan(spark, sf_dir, "region"), "conflict")
+    store = Store(spark, path)
+    old = store.load()
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda _: _outcome(lambda: store.commit(Manifest(2, old.storage_version, old.schema, old.files, "append"))), range(4)))
+    return spark.createDataFrame([(got.count("none"), got.count("CommitConflictError"), len(store.versions()))], "won int, lost int, versions int")
+
+
+@query("planning_reads_nothing", "SELECT 'id' AS names, 1 AS scans")
+def planning_reads_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and pushdown of a scan whose data files are gone by then."""
+    path = _written(scan(spark, sf_dir, "region").select(C("r_regionkey").alias("id")), "planning")
+    df = scan_dataset(spark, path).filter("id > 1")
+    Store(spark, path).remove("data")
+    return spark.createDataFrame([(",".join(df.columns), len(explain_pushdown(df)))], "names string, scans int")
+
+
+@query("storage_versions", "SELECT * FROM (VALUES ('2.0', '2.0'), ('2.1', '2.1'), ('2.2', '2.2'), ('2.3', '2.3'), ('default', '2.2'), ('stable', '2.1')) AS t(asked, stored)")
+def storage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = scan(spark, sf_dir, "region")
+    asked = ["2.0", "2.1", "2.2", "2.3", "default", "stable"]
+    stored = [Store(spark, _written(df, "versions", data_storage_version=None if v == "default" else v)).load().storage_version for v in asked]
+    return spark.createDataFrame(list(zip(asked, stored, strict=True)), "asked string, stored string")
+
+
+@query("storage_options", "SELECT * FROM (VALUES ('az://c/d', 'abfss://c/d'), ('gs://b/d', 'gs://b/d'), ('s3://b/d', 's3a://b/d')) AS t(uri, read)")
+def storage_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(u, resolve_uri(u)) for u in ("az://c/d", "gs://b/d", "s3://b/d")], "uri string, read string")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan, filter and project, with the conditions in the Parquet scan."""
     return scan(spark, sf_dir, "orders").filter((C("o_custkey") > 70) & (C("o_totalprice") < 100000)).select("o_orderkey", "o_custkey", "o_totalprice")

@@ -66,10 +66,12 @@ def resolve_uri(source: object) -> str:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir), or in a folder of this process if none is set."""
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir), or, on one machine, in a folder of this process if none is set."""
     global _own_dir
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _own_dir is None:
             _own_dir = tempfile.mkdtemp(prefix="lakemoor-scratch-")
             atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)

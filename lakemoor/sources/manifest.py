@@ -1,7 +1,8 @@
 """The versioned dataset: immutable Parquet files and one manifest for each version.
 
 ``<uri>/_manifests/<n>.json`` names schema, storage version and files of version n. A version is
-committed by moving a finished manifest to its name, which fails if another writer was first.
+committed by moving a finished manifest to its name, or by a conditional write in object stores;
+both fail if another writer was first.
 Nothing that a manifest names is ever changed or deleted, so a reader keeps its snapshot.
 """
 
@@ -11,12 +12,15 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from lakemoor.errors import CommitConflictError, EngineError
 
 FOLDER = "_manifests"
+#: Schemes whose rename() is a copy; a version is committed there by a conditional write.
+OBJECT_STORES = ("s3a", "s3", "gs")
 
 
 @dataclass
@@ -46,7 +50,7 @@ class Store:
     """A dataset's folder, through Hadoop's file systems."""
 
     def __init__(self, spark: SparkSession, uri: str) -> None:
-        self.jvm = spark.sparkContext._jvm
+        self.spark, self.jvm = spark, spark.sparkContext._jvm
         self.uri = uri
         self.fs = self.path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -78,34 +82,55 @@ class Store:
 
     def commit(self, manifest: Manifest) -> None:
         """Publish a version, or CommitConflictError if it exists by now."""
-        draft, final = self.path(FOLDER, f".{uuid.uuid4().hex}.draft"), self.path(FOLDER, f"{manifest.version}.json")
-        out = self.fs.create(draft, False)
+        final, content = self.path(FOLDER, f"{manifest.version}.json"), bytearray(manifest.to_json().encode())
+        if self.fs.getUri().getScheme() in OBJECT_STORES:
+            made = self._create(final, content)
+        else:
+            draft = self.path(FOLDER, f".{uuid.uuid4().hex}.draft")
+            self._write(self.fs.create(draft, False), content)
+            try:
+                made = self._move(draft, final)
+            finally:
+                self.fs.delete(draft, False)
+        if not made:
+            raise CommitConflictError(f"version {manifest.version} of {self.uri} was committed by another writer")
+
+    @staticmethod
+    def _write(out, content: bytearray) -> None:
         try:
-            out.write(bytearray(manifest.to_json().encode()))
+            out.write(content)
         finally:
             out.close()
+
+    def _create(self, final, content: bytearray) -> bool:
+        """Write an object that must not exist, in one request: it shows when it is whole, and of two writers the store lets one through (conditional writes)."""
+        builder = self.fs.createFile(final).overwrite(False).recursive()
+        builder.opt("fs.option.create.conditional.overwrite", "true")
         try:
-            moved = self._move(draft, final)
-        finally:
-            self.fs.delete(draft, False)
-        if not moved:
-            raise CommitConflictError(f"version {manifest.version} of {self.uri} was committed by another writer")
+            self._write(builder.build(), content)
+        except Py4JJavaError as e:
+            if self._taken(e):
+                return False
+            raise
+        return True
+
+    @staticmethod
+    def _taken(e: Py4JJavaError) -> bool:
+        text = f"{e.java_exception.getClass().getName()} {e.java_exception.getMessage()}"
+        return "FileAlreadyExists" in text or "412" in text or "Precondition" in text
 
     def _move(self, draft, final) -> bool:
         """Move unless the target exists, in one step of the file system."""
-        local = "file" == self.fs.getUri().getScheme()
-        if local:  # a hard link fails if the name is taken; rename() would replace
+        if self.fs.getUri().getScheme() == "file":  # a hard link fails if the name is taken; rename() would replace
             files, uri = self.jvm.java.nio.file.Files, self.fs.makeQualified
-            from py4j.protocol import Py4JJavaError
-
             try:
                 files.createLink(self.jvm.java.nio.file.Paths.get(uri(final).toUri()), self.jvm.java.nio.file.Paths.get(uri(draft).toUri()))
             except Py4JJavaError as e:
-                if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                if self._taken(e):
                     return False
                 raise
             return True
-        return not self.fs.exists(final) and self.fs.rename(draft, final)
+        return self.fs.rename(draft, final)  # false if the target exists: the contract of file systems with an atomic rename (HDFS, ABFS)
 
     def remove(self, *parts: str) -> None:
         self.fs.delete(self.path(*parts), True)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import batched
 from pathlib import Path
 
 import pyarrow as pa
@@ -46,14 +45,23 @@ def scan_dataset(spark: SparkSession, source: str | Path, *, storage_options: di
 def pull(df: DataFrame, *, batch_size: int | None = None) -> Iterator[pa.RecordBatch]:
     """The rows of a query as Arrow batches, one partition at a time, so the caller holds one at most.
 
-    ``batch_size`` is the number of rows of a batch; 0 or None leaves it to the engine.
+    Batches are made and serialised by the tasks. ``batch_size`` is the most rows of a batch; 0 or
+    None leaves it to the engine.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = to_arrow_schema(df.schema)
+    def packed(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, batch_size or max(batch.num_rows, 1)):
+                part = batch.slice(at, batch_size or None)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema) as stream:
+                    stream.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["batch"])
+
     with translating():
-        for rows in batched(df.toLocalIterator(), batch_size or 10_000, strict=False):
-            yield pa.RecordBatch.from_pylist([r.asDict(recursive=True) for r in rows], schema=schema)
+        for row in df.mapInArrow(packed, "batch binary").toLocalIterator(prefetchPartitions=True):
+            with pa.ipc.open_stream(row.batch) as stream:
+                yield from stream
 
 
 def versions(spark: SparkSession, source: str | Path) -> list[int]:

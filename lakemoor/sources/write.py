@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemoor.errors import EngineError, translating
+from lakemoor.errors import CommitConflictError, EngineError, translating
 from lakemoor.session import apply_storage_options, resolve_uri
 from lakemoor.sources.manifest import FOLDER, Manifest, Store
-from lakemoor.types import check_names
+from lakemoor.types import check_names, column
 from lakemoor.versions import WITHOUT_STRUCT_NULLS, resolve
 
 MODES = ("error", "append", "overwrite")
@@ -74,6 +74,23 @@ def _plain(t: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in t]
 
 
+def _write_files(store: Store, df: DataFrame, folder: str, most_rows: int | None) -> list[tuple[str, int]]:
+    writer = df.write if most_rows is None else df.write.option("maxRecordsPerFile", most_rows)
+    writer.parquet(f"{store.uri}/{folder}")
+    return [(f"{folder}/{n}", size) for n, size in store.names(folder) if n.startswith("part-")]
+
+
+def _write_divided(store: Store, schema: T.StructType, files: list[tuple[str, int]], folder: str, most_rows: int | None, most_bytes: int) -> list[tuple[str, int]]:
+    """The rows of some files anew, in their order, in files of so many rows that the file with the largest rows would be within the limit."""
+    rows = store.spark.read.schema(schema).parquet(*[f"{store.uri}/{p}" for p, _ in files])
+    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    each = rows.groupBy(file.alias("f")).agg((F.max("_metadata.file_size") / F.count("*")).alias("bytes"))
+    fit = max(1, int(most_bytes / each.agg(F.max("bytes")).first()[0]))
+    tasks = max(1, -(-sum(size for _, size in files) // max(most_bytes, 64 << 20)))
+    ordered = rows.repartitionByRange(tasks, file, place).sortWithinPartitions(file, place) if tasks > 1 else rows.coalesce(1).sortWithinPartitions(file, place)
+    return _write_files(store, ordered.select(*[column(n) for n in schema.names]), folder, fit if most_rows is None else min(fit, most_rows))
+
+
 def write_dataset(
     df: DataFrame,
     target: str | Path,
@@ -85,17 +102,22 @@ def write_dataset(
     data_storage_version: str | None = None,
     blob_columns: list[str] | None = None,
     batch: tuple[str, int] | None = None,
+    expected_version: int | None = None,
 ) -> None:
     """Write ``df`` as a new version of the dataset at ``target``.
 
     mode: "error" if the dataset must not exist, "append", or "overwrite" (older versions stay
     readable). Columns of an append are paired by name. ``max_rows_per_file`` bounds each file; the
-    number of files is exact if one task writes (``df.coalesce(1)``). ``max_bytes_per_file`` is soft,
-    by the schema's estimate of a row. ``data_storage_version`` is ignored when appending.
-    ``blob_columns`` are marked in the schema. batch: (streaming query, batch number) that this
+    number of files is exact if one task writes (``df.coalesce(1)``). ``max_bytes_per_file`` is soft:
+    files that turn out larger are divided by the bytes of a row that they show.
+    ``data_storage_version`` counts for a new dataset or an overwrite. ``blob_columns`` are marked in
+    the schema. expected_version: the version that this write builds on (0: none yet); if another
+    one is the newest by the time of the commit, CommitConflictError and no change. batch: (streaming query, batch number) that this
     write stands for; a batch that the dataset holds already is not written again.
     """
     blobs = list(blob_columns or [])
+    if expected_version is not None and (not isinstance(expected_version, int) or expected_version < 0):
+        raise ValueError("`expected_version` must be a version or 0")
     storage = _check(df, mode, {"max_rows_per_file": max_rows_per_file, "max_bytes_per_file": max_bytes_per_file}, data_storage_version, blobs)
     spark = df.sparkSession
     apply_storage_options(spark, storage_options)
@@ -103,6 +125,8 @@ def write_dataset(
     with translating():
         store = Store(spark, uri)
         old = store.load()
+        if expected_version is not None and expected_version != (0 if old is None else old.version):
+            raise CommitConflictError(f"the newest version of {uri} is {0 if old is None else old.version}, not {expected_version}")
         if mode == "error" and (old is not None or store.names()):
             raise FileExistsError(f"a dataset exists at {uri}")
         if old is not None and batch is not None and old.batches.get(batch[0], -1) >= batch[1]:
@@ -114,21 +138,20 @@ def write_dataset(
             if sorted(_plain(schema)) != sorted(_plain(old.schema)):
                 raise ValueError(f"the schema {schema.simpleString()} does not match the dataset's {old.schema.simpleString()}")
             schema = old.schema
-        columns = [F.col(f"`{f.name}`") for f in schema]
+        columns = [column(f.name) for f in schema]
         if storage == WITHOUT_STRUCT_NULLS:
             columns = [_filled(c, f.dataType).alias(f.name) if _has_struct(f.dataType) else c for c, f in zip(columns, schema, strict=True)]
         version = 1 if old is None else old.version + 1
         folder = f"data/{version:010d}-{uuid.uuid4().hex}"
-        limit = max_rows_per_file
-        if max_bytes_per_file is not None:
-            rows = max(1, max_bytes_per_file // max(1, df._jdf.schema().defaultSize()))
-            limit = rows if limit is None else min(limit, rows)
-        writer = df.select(*columns).write
-        writer = writer if limit is None else writer.option("maxRecordsPerFile", limit)
         new = not store.exists()
         try:
-            writer.parquet(f"{uri}/{folder}")
-            files = [(f"{folder}/{n}", size) for n, size in store.names(folder) if n.startswith("part-")]
+            files = _write_files(store, df.select(*columns), folder, max_rows_per_file)
+            if max_bytes_per_file is not None and any(size > max_bytes_per_file for _, size in files):
+                folder, whole = f"{folder}-divided", folder
+                try:
+                    files = _write_divided(store, schema, files, folder, max_rows_per_file, max_bytes_per_file)
+                finally:
+                    store.remove(whole)
             batches = dict(old.batches) if old is not None else {}
             store.commit(Manifest(version, storage, schema, ([*old.files, *files] if append else files), "append" if append else mode, batches | ({batch[0]: batch[1]} if batch else {})))
         except BaseException:

@@ -7,7 +7,8 @@ nanoseconds microseconds, views, dictionaries and fixed-size types their plain f
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Arrow types without a counterpart.
@@ -72,6 +73,11 @@ def from_arrow(spark: SparkSession, table: pa.Table) -> DataFrame:
     return spark.createDataFrame(plain)
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever its characters."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def check_names(schema: T.StructType) -> None:
     """Column names are told apart exactly, are not empty, and hold no dot."""
     for name in schema.names:

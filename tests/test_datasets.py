@@ -66,10 +66,12 @@ def test_wrong_arguments(tmp_path, frame, how, message):
     assert not (tmp_path / "d").exists()
 
 
-def test_names(tmp_path, frame):
+def test_names(spark, tmp_path, frame):
     with pytest.raises(ValueError, match="'a.b'"):
         write_dataset(frame.withColumnRenamed("id", "a.b"), tmp_path / "d")
-    write_dataset(frame.withColumnRenamed("id", "with space"), tmp_path / "e")
+    for i, name in enumerate(("with space", "back`tick", "d-e", "Ünï")):
+        write_dataset(frame.withColumnRenamed("id", name), tmp_path / f"e{i}")
+        assert scan_dataset(spark, tmp_path / f"e{i}").columns == [name, "val"]
 
 
 def test_missing_and_lost(spark, tmp_path, frame):
@@ -128,13 +130,67 @@ def test_file_limits(spark, tmp_path):
     assert len(Store(spark, str(tmp_path / "d")).load().files) == 5
     write_dataset(spark.range(5).coalesce(1), tmp_path / "e", max_rows_per_file=2)
     assert len(Store(spark, str(tmp_path / "e")).load().files) == 3
-    write_dataset(spark.range(1000).coalesce(1), tmp_path / "f", max_bytes_per_file=800)
-    assert len(Store(spark, str(tmp_path / "f")).load().files) == 10
+    blobs = spark.range(1000).select("id", F.expr("unhex(concat_ws('', transform(sequence(1, if(id < 500, 8, 16)), k -> sha2(concat(id, '-', k), 512))))").alias("file")).coalesce(1)
+    write_dataset(blobs, tmp_path / "f", max_bytes_per_file=100_000)
+    files = Store(spark, str(tmp_path / "f")).load().files
+    assert 8 <= len(files) <= 20 and max(n for _, n in files) <= 150_000
+    assert [r.id for r in scan_dataset(spark, tmp_path / "f", ordered=True).collect()] == list(range(1000))
+    assert len(list((tmp_path / "f" / "data").iterdir())) == 1  # the undivided files are gone
+    write_dataset(blobs, tmp_path / "g", max_bytes_per_file=10**9)
+    assert len(Store(spark, str(tmp_path / "g")).load().files) == 1
+    write_dataset(blobs, tmp_path / "g", mode="overwrite", max_bytes_per_file=10**6, max_rows_per_file=10)
+    assert len(Store(spark, str(tmp_path / "g")).load().files) == 100
     compact(spark, tmp_path / "f")
     assert len(Store(spark, str(tmp_path / "f")).load().files) == 1
     assert scan_dataset(spark, tmp_path / "f").count() == 1000
 
 
+def test_compaction_yields_to_a_commit_in_between(spark, tmp_path, frame, monkeypatch):
+    from lakemoor.operators import compaction
+
+    write_dataset(frame, tmp_path / "d")
+    write_dataset(frame, tmp_path / "d", mode="append")
+    scan = compaction.scan_dataset
+
+    def interrupted(*a, **k):
+        df = scan(*a, **k)
+        write_dataset(frame.limit(2), tmp_path / "d", mode="append")
+        return df
+
+    monkeypatch.setattr(compaction, "scan_dataset", interrupted)
+    with pytest.raises(CommitConflictError):
+        compact(spark, tmp_path / "d")
+    assert scan_dataset(spark, tmp_path / "d").count() == 8 and versions(spark, tmp_path / "d") == [1, 2, 3]
+
+
+def test_expected_version(spark, tmp_path, frame):
+    write_dataset(frame, tmp_path / "d", expected_version=0)
+    for mode in ("append", "overwrite"):
+        for wrong in (0, 7):
+            with pytest.raises(CommitConflictError):
+                write_dataset(frame, tmp_path / "d", mode=mode, expected_version=wrong)
+    write_dataset(frame, tmp_path / "d", mode="append", expected_version=1)
+    assert scan_dataset(spark, tmp_path / "d").count() == 6
+    with pytest.raises(ValueError, match="expected_version"):
+        write_dataset(frame, tmp_path / "d", mode="append", expected_version=-1)
+
+
+def test_conditional_writes(spark, tmp_path):
+    """What object stores get, on a local file system."""
+    store = Store(spark, str(tmp_path / "d"))
+    assert store._create(store.path("_manifests", "1.json"), bytearray(b"one")) and not store._create(store.path("_manifests", "1.json"), bytearray(b"two"))
+    assert (tmp_path / "d" / "_manifests" / "1.json").read_text() == "one"
+
+
+def test_storage_options(spark):
+    from lakemoor.session import apply_storage_options, resolve_uri
+
+    apply_storage_options(spark, {"aws_access_key_id": "k", "aws_allow_http": "true", "azure_storage_account_name": "a", "azure_storage_account_key": "z", "fs.s3a.path.style.access": "true"})
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    assert [conf.get(x) for x in ("fs.s3a.access.key", "fs.s3a.connection.ssl.enabled", "fs.azure.account.key.a.blob.core.windows.net", "fs.s3a.path.style.access")] == ["k", "false", "z", "true"]
+    assert [resolve_uri(u) for u in ("s3://b/d/", "az://c/d", "gs://b/d", "/tmp/d")] == ["s3a://b/d", "abfss://c/d", "gs://b/d", "/tmp/d"]
+
+
 def test_empty_and_zero_rows(spark, tmp_path, frame):
     write_dataset(frame.limit(0), tmp_path / "d")
     got = scan_dataset(spark, tmp_path / "d")

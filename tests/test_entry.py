@@ -40,9 +40,32 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_works_without_the_training_data_operators(tmp_path):
+def bare(tmp_path):
+    """The repository as it is with the training-data operators' folders deleted."""
     root = Path(entry.__file__).parent
     shutil.copytree(root / "lakemoor", tmp_path / "lakemoor", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copytree(root / "tests", tmp_path / "tests", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(root / "__spark_entry__.py", tmp_path)
-    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120)
+    return tmp_path
+
+
+def run(where, *command):
+    return subprocess.run([sys.executable, *command], cwd=where, env=os.environ | {"PYTHONPATH": str(where)}, capture_output=True, text=True, timeout=250)
+
+
+def test_works_without_the_training_data_operators(tmp_path):
+    out = run(bare(tmp_path), "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))")
     assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))], out.stderr
+    out = run(tmp_path, "-m", "pytest", "tests", "-q", "-x", "--collect-only")
+    assert out.returncode == 0, out.stdout
+    out = run(tmp_path, "-m", "pytest", "tests/test_datasets.py", "-q", "-x", "-k", "versions or modes or storage_options")
+    assert out.returncode == 0, out.stdout
+
+
+def test_broken_dependencies_are_not_swallowed(tmp_path):
+    llm = bare(tmp_path) / "lakemoor" / "llm"
+    llm.mkdir()
+    (llm / "__init__.py").touch()
+    (llm / "queries.py").write_text("import no_such_library")
+    out = run(tmp_path, "-c", "import __spark_entry__")
+    assert out.returncode and "no_such_library" in out.stderr
