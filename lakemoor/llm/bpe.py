@@ -8,12 +8,17 @@ byte. The gadget of a merge (u, v) -> w
 * adds, wherever u still leaves a state, an arc w to the state that v led to (so of u u u the
   first two merge: where u = v, the private copy gets no arc w).
 
-States are persistent: a copy is a pointer to its origin with the time of the copy, and a removed
-arc is an entry (state, arc) -> time, so 50,000 gadgets cost 50,000 entries. An arc that a gadget
-added stands at a state if the arc of its left part stood there at that time.
-
-Encoding runs the table over a pre-split word. Each prefix of a word has one correct tokenization,
-so each place in it is reached in one state. Decoding emits the byte labels of the arcs.
+The transitions are a table, compiled gadget by gadget: a row for each state (what a token leads
+to), a column for each arc. A gadget copies v's row for w, clears one entry of u's row, and copies
+u's column for w. The table holds the first ``TABLE`` tokens, of which nearly all texts outside the
+word caches consist. A full one would take a bit for each of 50,000 x 50,000 pairs in every worker,
+so the states of later merges are persistent instead: a copy is a pointer to its origin with the
+time of the copy, a removed arc an entry (state, arc) -> time, and an arc that a gadget added stands
+at a state if the arc of its left part stood there at that time. Both forms give the same arcs.
+
+Encoding runs the automaton over a pre-split word. Each prefix of a word has one correct
+tokenization, so each place in it is reached in one state. Decoding emits the byte labels of the
+arcs.
 
 Pre-splitting follows the byte-level pattern of the vocabulary. Where no two white-space characters
 meet, a text may be cut at line ends and before spaces, and what stands between is looked up in
@@ -29,6 +34,7 @@ import json
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +43,8 @@ from lakemoor.llm.shared import map_arrow
 
 #: Fixed value: the pre-splitting pattern of byte-level vocabularies of this family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Tokens whose transitions are compiled to a table of their square in bytes.
+TABLE = 6144
 #: Entries of a cache; it is emptied beyond.
 CACHE = 250_000
 #: Words up to so many bytes are cached.
@@ -53,7 +61,7 @@ def byte_chars() -> dict[str, int]:
 class Automaton:
     """The automaton of a list of merges; tokens are byte strings with ids."""
 
-    def __init__(self, ids: dict[bytes, int], merges: list[tuple[bytes, bytes]]) -> None:
+    def __init__(self, ids: dict[bytes, int], merges: list[tuple[bytes, bytes]], table: int = TABLE) -> None:
         n = max(ids.values()) + 1
         self.ids = ids
         self.left, self.right = [-1] * n, [-1] * n
@@ -80,6 +88,32 @@ class Automaton:
                 node = to
             self.ends[node] = i
         self.known: dict[tuple[int, int], bool] = {}
+        self._compile(merges, table)
+
+    def _compile(self, merges: list[tuple[bytes, bytes]], size: int) -> None:
+        """The table of the first tokens: ``place`` of each token in it, and whether the arc of a column leaves the state of a row."""
+        ids = self.ids
+        order = [i for token, i in ids.items() if self.left[i] < 0]
+        order += [ids[a + b] for time, (a, b) in enumerate(merges) if self.born[ids[a + b]] == 2 * time]
+        self.size = size = min(size, len(order))
+        self.place = [size] * len(self.left)
+        for k, i in enumerate(order[:size]):
+            self.place[i] = k
+        place = self.place
+        arcs = np.zeros((size, size), dtype=bool)
+        bytes_ = sum(self.left[i] < 0 for i in order[:size])
+        arcs[:bytes_, :bytes_] = True
+        for time, (a, b) in enumerate(merges):
+            u, v, w = place[ids[a]], place[ids[b]], ids[a + b]
+            k = place[w] if self.born[w] == 2 * time else size
+            if max(u, v) >= size:
+                continue
+            if k < size:
+                arcs[k] = arcs[v]
+            arcs[u, v] = False
+            if k < size:
+                arcs[:, k] = arcs[:, u]
+        self.arcs = arcs.tobytes()
 
     def _stands(self, u: int, t: int, until: int) -> bool:
         """Whether the state behind u had the arc t just before the gadget of time ``until``."""
@@ -97,6 +131,9 @@ class Automaton:
 
     def goes(self, u: int, t: int) -> bool:
         """Whether an arc t leaves the state behind u."""
+        row, column, size = self.place[u], self.place[t], self.size
+        if row < size and column < size:
+            return self.arcs[row * size + column] == 1
         pair = (u, t)
         found = self.known.get(pair)
         if found is None:
@@ -116,6 +153,7 @@ class Automaton:
         if t is not None and self._whole(t):
             return [t]
         goes, step, ends = self.goes, self.step.get, self.ends
+        place, size, table = self.place, self.size, self.arcs
         path: list[int] = []
         places = [0]
         closed = bytearray(n + 1)
@@ -130,8 +168,9 @@ class Automaton:
                     break
                 if ends[node] >= 0 and not closed[to + 1]:
                     arcs.append((to + 1, ends[node]))
+            row = place[path[-1]] if path else -1
             for to, t in reversed(arcs):
-                if goes(path[-1], t) if path else self._whole(t):
+                if (self._whole(t) if row < 0 else table[row * size + place[t]] if row < size > place[t] else goes(path[-1], t)):
                     path.append(t)
                     places.append(to)
                     break

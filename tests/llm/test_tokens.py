@@ -65,13 +65,28 @@ def test_automaton_of_random_merges():
                 merges.append(pair)
                 tokens.append(pair[0] + pair[1])
         ids = {t: i for i, t in enumerate(tokens)}
-        automaton = Automaton(ids, merges)
+        automaton = Automaton(ids, merges, table=rng.choice([0, 3, 8, 99]))
         ranks = {m: i for i, m in enumerate(merges)}
         for _ in range(120):
             word = bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 16)))
             assert [tokens[i] for i in automaton.encode(word)] == merged(word, ranks), (merges, word)
 
 
+def test_table_and_persistent_states_have_the_same_arcs(own):
+    automaton = own.automaton
+    if automaton is None:
+        return
+    rng = random.Random(4)
+    tokens = [i for i, k in enumerate(automaton.place) if k < automaton.size]
+    assert len(tokens) == automaton.size > 5000
+    found = Counter()
+    for _ in range(40000):
+        u, t = rng.choice(tokens), rng.choice(tokens)
+        assert automaton.goes(u, t) == automaton._stands(u, t, 1 << 60)
+        found[automaton.goes(u, t)] += 1
+    assert min(found.values()) > 500
+
+
 def test_round_trip_of_rows(frame, odd_docs, library):
     rows = [r for r in odd_docs if len(r[1] or "") < 20000]
     got = bpe_encode(frame(rows), decode=True)
