@@ -151,7 +151,7 @@ unlicense|1|0.95|anyone is free to copy|anyone is free to copy modify publish us
 unlicense|2|0.9|unlicense org|unlicense org
 wtfpl|1|1|what the fuck|do what the fuck you want to public license
 wtfpl|1|0.9|verbatim or modified copies|everyone is permitted to copy and distribute verbatim or modified copies of this license document
-beerware|1|0.9|beer|beer ?ware license
+beerware|1|0.9|ware license|beer ?ware license
 beerware|1|0.9|me a beer|you can buy me a beer in return
 json|1|0.95|good not evil|the software shall be used for good not evil
 python|1|0.95|psf is making python|psf is making python available to licensee on an as is basis
@@ -201,19 +201,22 @@ elastic|2|0.9|elastic license|elastic license(?: v?2(?: 0)?)?
 commons-clause|1|0.95|commons clause|commons clause license condition
 commons-clause|1|0.9|grant of rights|the grant of rights under the license will not include
 polyform|2|0.9|polyform|polyform (?:noncommercial|small business|shield|strict|perimeter|internal use) license
-openrail|2|0.9|rail|(?:creativeml |bigscience )?(?:bloom )?(?:open ?)?rail(?: ?[mds])? license
+openrail|2|0.9|rail license|(?:creativeml |bigscience )?(?:bloom )?(?:open ?)?rail license
+openrail|2|0.9|rail m|(?:creativeml |bigscience )?(?:bloom )?(?:open ?)?rail m(?: license)?
 llama|2|0.9|community license agreement|llama [234](?: [0-9])? community license agreement
 gemma|2|0.8|gemma terms|gemma terms of use
 ogl-uk|2|0.9|open government|open government licen[cs]e
 crown|3|0.6|crown copyright|crown copyright
 etalab|2|0.9|licence ouverte|licence ouverte(?: open licence)?
 dl-de|2|0.9|datenlizenz|datenlizenz deutschland
-fal|2|0.9|art|(?:licence art libre|free art license)
+fal|2|0.9|licence art libre|licence art libre
+fal|2|0.9|free art license|free art license
 opl|2|0.9|open publication|open publication license
 ogl|2|0.9|open game|open game license(?: version)?(?: 1 0a?)?
 noncommercial|2|0.7|commercial use only|non ?commercial use only
 noncommercial|2|0.7|not for commercial|not for commercial (?:use|purposes|resale)
-noncommercial|3|0.5|use only|for (?:personal|private)(?: non ?commercial)? use only
+noncommercial|3|0.5|al use only|for personal(?: non ?commercial)? use only
+noncommercial|3|0.5|private|for private(?: non ?commercial)? use only
 noncommercial|3|0.5|purposes only|for (?:educational|research|academic|non ?commercial) purposes only
 proprietary|2|0.8|confidential|confidential and proprietary
 proprietary|2|0.8|proprietary|this software is proprietary
@@ -222,7 +225,7 @@ proprietary|2|0.7|permission|(?:may|must) not be (?:reproduced|copied|distribute
 proprietary|2|0.7|redistribution|not for redistribution
 proprietary|3|0.5|internal use only|internal use only
 proprietary|3|0.6|end user|end user licen[cs]e agreement
-proprietary|3|0.4|reserved|all rights reserved
+proprietary|3|0.4|rights reserved|all rights reserved
 proprietary|3|0.4|vorbehalten|alle rechte vorbehalten
 proprietary|3|0.4|tous droits|tous droits (?:réservés|reserves)
 proprietary|3|0.4|derechos reservados|todos los derechos reservados
@@ -310,8 +313,12 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         base.append(F.when(F.col(f"`{label}`").isNotNull(), F.lit(label)))
     base_labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*base))))
 
-    table = F.from_json(F.lit(json.dumps([dict(zip(("i", "p", "k1", "k2", "x", "w", "lab"), (i, p, k1, k2, f"(?<= )(?:{x})(?= )", w, lab), strict=True)) for i, p, k1, k2, x, w, lab in rules()])), "array<struct<i:int,p:int,k1:string,k2:string,x:string,w:double,lab:string>>")
-    fired = F.filter(table, lambda r: F.contains(F.col("low"), r["k1"]) & F.contains(F.col("low"), r["k2"]))
+    by_keyword: dict[str, list[dict]] = {}
+    for i, p, k1, k2, x, w, lab in rules():
+        by_keyword.setdefault(k1, []).append({"i": i, "p": p, "k": k2, "x": f"(?<= )(?:{x})(?= )", "w": w, "lab": lab})
+    table = F.from_json(F.lit(json.dumps([{"k": k, "r": r} for k, r in by_keyword.items()])), "array<struct<k:string,r:array<struct<i:int,p:int,k:string,x:string,w:double,lab:string>>>>")
+    held = lambda x: F.contains(F.col("low"), x["k"])
+    fired = F.filter(F.flatten(F.transform(F.filter(table, held), lambda g: g["r"])), held)
 
     def matches(r: Column) -> Column:
         between = F.split(F.col("low"), r["x"], -1)
