@@ -13,7 +13,7 @@ from lakemoor.llm import quality, toxicity
 from lakemoor.llm.exact_dedup import keep_first
 from lakemoor.llm.near_dedup import keep_one
 from lakemoor.llm.packing import pack
-from lakemoor.llm.shared import materialise, table
+from lakemoor.llm.shared import discard, materialise, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each result is a table in the shared folder before the next stage reads it."""
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialise(docs, name.replace(" ", "-"))
+            if i:
+                discard(before)
     return docs
