@@ -132,15 +132,33 @@ class Leaves:
         self.dirs, self.turn = dirs[0, :HEAD] / norm[:HEAD, None], turn[0, :HEAD] / norm[:HEAD]
         signs = self.margins(sample) > 0
         self.prefixes: list[tuple[bool, ...]] = []
-        stack = [((), np.arange(len(sample)))]
+        branches: list[list[int]] = []  # what follows a 0 and a 1: a further branch, or -1 - leaf
+        stack = [((), np.arange(len(sample)), None)]
         while stack:
-            prefix, held = stack.pop()
+            prefix, held, above = stack.pop()
             depth = len(prefix)
             if len(held) * rows <= SHARD * len(sample) or len(held) < 2 or depth == len(self.turn):
+                here = -1 - len(self.prefixes)
                 self.prefixes.append(prefix)
             else:
+                here = len(branches)
+                branches.append([0, 0])
                 one = signs[held, depth]
-                stack += [((*prefix, False), held[~one]), ((*prefix, True), held[one])]
+                stack += [((*prefix, False), held[~one], here), ((*prefix, True), held[one], here)]
+            if above is not None:
+                branches[above][int(prefix[-1])] = here
+        self.branches = np.array(branches, dtype=np.int64).reshape(-1, 2)
+
+    def own(self, vectors: np.ndarray) -> np.ndarray:
+        """The leaf of each vector."""
+        at = np.full(len(vectors), 0 if len(self.branches) else -1, dtype=np.int64)
+        signs = (self.margins(vectors) > 0).astype(np.int64)
+        for depth in range(signs.shape[1]):
+            on = at >= 0
+            if not on.any():
+                break
+            at[on] = self.branches[at[on], signs[on, depth]]
+        return (-1 - at).astype(np.int32)
 
     def margins(self, vectors: np.ndarray) -> np.ndarray:
         return vectors @ self.dirs.T - self.turn
@@ -193,7 +211,7 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id"
             if len(own):
                 places = distinct(own, matrix, k)
                 kept = batch.take(pa.array(places))
-                leaf = leaves.costs(matrix[places]).argmin(axis=1).astype(np.int32)
+                leaf = leaves.own(matrix[places])
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), kept.column("id"), kept.column("v")], names=["leaf", "id", "v"])
 
     dealt = materialise(map_arrow(rows, deal, "leaf int, id long, v array<double>"), "vectors")

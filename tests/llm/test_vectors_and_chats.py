@@ -90,8 +90,11 @@ def test_leaves_cover_every_vector():
     v = rng.standard_normal((800, 8))
     dirs, turn = directions(v)
     leaves = Leaves(v, dirs, turn, 800 * 50)
-    cost = leaves.costs(rng.standard_normal((300, 8)))
-    assert len(leaves.prefixes) > 3 and ((cost == 0).sum(axis=1) == 1).all()
+    others = rng.standard_normal((300, 8))
+    cost = leaves.costs(others)
+    assert len(leaves.prefixes) > 3 and ((cost == 0).sum(axis=1) == 1).all() and (cost.argmin(axis=1) == leaves.own(others)).all()
+    single = Leaves(v, dirs, turn, 800)
+    assert len(single.prefixes) == 1 and not single.own(others).any() and not single.costs(others).any()
 
 
 def test_distinct_keeps_the_smallest_ids():
