@@ -235,10 +235,22 @@ no-warranty|3|0.3|warranty|without warranty of any kind
 """.strip().splitlines()
     )
 ]
+#: Words of which most signatures hold one for certain: so few keywords tell that a text has no match at all.
+STEMS = ["licen", "software", "copyright", "permission", "public", "reserved", "distribut", "commons", "this file", "gnu org", "warrant"]
 #: Matches that running sums and maxima take one by one.
 BLOCK = 64
 
 
+def certain(expression: str) -> str:
+    """The text that every match holds: what stands outside groups, classes and quantified letters, which become line ends."""
+    out, depth = "", 0
+    for i, c in enumerate(expression):
+        depth += c in "(["
+        out += c if depth == 0 and c not in "?*+" and expression[i + 1 : i + 2] not in ("?", "*") else "\n"
+        depth -= c in ")]"
+    return "" if "|" in out else out
+
+
 def rules() -> list[tuple[int, int, str, str, str, float, str]]:
     """(order, priority, keyword of the form, keyword of the name, expression, weight, label): the forms by priority, each for all names in order."""
     out = []
@@ -246,7 +258,7 @@ def rules() -> list[tuple[int, int, str, str, str, float, str]]:
         for label, key, name, spdx in NAMES:
             key = key if "{name}" in form else keyword  # an SPDX identifier need not hold the long name's keyword
             out.append((priority, keyword, key, form.format(name=name, spdx=spdx), weight, label))
-    out += [(priority, keyword, keyword, expression, weight, label) for label, priority, keyword, expression, weight in NOTICES]
+    out += [(priority, next((x for x in STEMS if x in certain(expression)), keyword), keyword, expression, weight, label) for label, priority, keyword, expression, weight in NOTICES]
     out.sort(key=lambda r: r[0])
     return [(i, *r) for i, r in enumerate(out)]
 
